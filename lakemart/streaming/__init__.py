@@ -1,0 +1,3 @@
+"""The workload this package covers has no streams: incremental loading is a
+base + delta union (``operators.cleaning.merge_changes``) and an idempotent
+per-day append (``sources.layers.Layer.replace_days``)."""
