@@ -31,7 +31,7 @@ def rank_by_value(
     cuts = each.agg(F.percentile_approx(F.col("_v").cast("double"), shares, 10_000).alias("cuts")).first()["cuts"]
     if cuts:
         # how many cuts lie below the value
-        cut_list = F.array(*(F.lit(c) for c in sorted(set(cuts))))
+        cut_list = F.expr("array(" + ", ".join(f"{c!r}D" for c in sorted(set(cuts))) + ")")
         bucket = F.size(F.filter(cut_list, lambda c: c < F.col("_v").cast("double")))
     else:
         bucket = F.lit(0)

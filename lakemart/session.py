@@ -23,6 +23,7 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "lakemart")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
