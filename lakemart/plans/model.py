@@ -114,6 +114,10 @@ class Operand:
         known = table == self.fact or table in related(self.fact) or table in self.through
         return known or (table == DATE and bool({"closing", "single"} & set(self.dates)))
 
+    def settled(self) -> Operand:
+        """Without a date shift where dates do not reach the fact."""
+        return self if not self.dates or self.reaches(f"{DATE}.Date") else replace(self, dates=())
+
 
 @dataclass(frozen=True)
 class Context:
@@ -231,43 +235,61 @@ def _in_periods(context: Context, operand: Operand, rows: DataFrame) -> DataFram
     return rows.join(days, rows["date_key"] == days["_day"]).drop("_day")
 
 
+def _daily(context: Context, operand: Operand) -> tuple[DataFrame, list[str]]:
+    """The operand's sum per day and per group other than the date's, and the names of
+    those groups. Shifted sums of one fact all start from this same aggregate, whose
+    shuffle Spark runs once and reuses."""
+    other = tuple(c for c in context.by if _table(c) != DATE)
+    undated = replace(context, by=other, where={c: f for c, f in context.where.items() if _table(c) != DATE})
+    groups = [_label(c) for c in other]
+    rows = fact_rows(undated, replace(operand, dates=()))
+    return rows.groupBy(*groups, "date_key").agg(F.expr(operand.sql).alias("_total")), groups
+
+
+def _shifted_sum(context: Context, operand: Operand, name: str) -> DataFrame:
+    """The sum over the days of the shifted periods."""
+    daily, groups = _daily(context, operand)
+    labels = _date_labels(context)
+    days = shifted_periods(context, operand).withColumn("date_key", date_key("Date")).drop("Date")
+    return daily.join(days, "date_key").groupBy(*groups, *labels).agg(F.sum("_total").alias(name))
+
+
 def _running(context: Context, operand: Operand, name: str) -> DataFrame:
     """Month- or year-to-date sums: daily totals, filled up to the period's end,
     summed along the days. A window holds the days of one month or year."""
-    unit = {"mtd": "month", "ytd": "year"}[operand.dates[0]]
+    unit, months = {"mtd": ("month", 1), "ytd": ("year", 12)}[operand.dates[0]]
+    daily, groups = _daily(context, operand)
     labels = _date_labels(context)
-    other = [c for c in context.by if _table(c) != DATE]
-    groups = [_label(c) for c in other]
-    undated = replace(context, by=tuple(other), where={c: f for c, f in context.where.items() if _table(c) != DATE})
-    rows = fact_rows(undated, replace(operand, dates=()))
-    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("Date")
-    daily = rows.where("date_key is not null").groupBy(*groups, day).agg(F.expr(operand.sql).alias("_total"))
-    start = F.trunc("Date", unit)
-    daily = daily.withColumn("_start", start)
-    length = {"month": 1, "year": 12}[unit]
-    wanted = shifted_periods(context, replace(operand, dates=()))
-    wanted = wanted.groupBy(*labels).agg(F.max("Date").alias("Date"))
+    daily = daily.where("date_key is not null").select(
+        *groups, F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("Date"), "_total"
+    ).withColumn("_start", F.trunc("Date", unit))
     filled = (
         daily.groupBy(*groups, "_start")
         .agg(F.min("Date").alias("_first"))
-        .withColumn("_last", F.date_sub(F.add_months("_start", length), 1))
+        .withColumn("_last", F.date_sub(F.add_months("_start", months), 1))
         .select(*groups, "_start", F.explode(F.sequence("_first", "_last")).alias("Date"))
     )
     # filler rows carry no amount: stacking them needs no null-safe join
     dense = filled.withColumn("_total", F.lit(None).cast(dict(daily.dtypes)["_total"])).unionByName(daily)
     along = Window.partitionBy(*groups, "_start").orderBy("Date").rangeBetween(Window.unboundedPreceding, 0)
     sums = dense.withColumn(name, F.sum("_total").over(along)).groupBy(*groups, "Date").agg(F.max(name).alias(name))
+    wanted = periods(context).groupBy(*labels).agg(F.max("Date").alias("Date"))
     return sums.join(wanted, "Date").drop("Date")
 
 
 # -- evaluating operands ---------------------------------------------------------
 
 
+def _is_shifted_sum(operand: Operand) -> bool:
+    return bool(operand.dates) and operand.dates[-1] in ("mtd", "ytd", "previous_month")
+
+
 def _frame_key(context: Context, operand: Operand):
     """Operands with equal keys are aggregated together, in one pass."""
     seen = context.only(operand)
-    virtual = tuple(sorted(set(operand.through) & {_table(c) for c in (*seen.by, *seen.where)}))
-    alone = operand.sql if operand.top or operand.both or (operand.dates and operand.dates[-1] in ("mtd", "ytd")) else None
+    used = {_table(c) for c in (*seen.by, *seen.where)}
+    virtual = tuple(sorted((set(operand.through) - related(operand.fact)) & used))
+    alone = operand.sql if operand.top or operand.both or _is_shifted_sum(operand) else None
     return operand.fact, virtual, seen.by, tuple(seen.where), operand.dates, operand.top, operand.both, operand.given, alone
 
 
@@ -277,8 +299,10 @@ def _one_frame(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
     groups = [_label(c) for c in seen.by]
     if first.both:
         return _in_both(context, first, first_name)
-    if first.dates and first.dates[-1] in ("mtd", "ytd"):
-        return _running(seen, first, first_name)
+    if _is_shifted_sum(first):
+        shift = _shifted_sum if first.dates[-1] == "previous_month" else _running
+        same_sum = [F.col(first_name).alias(name) for name in operands]
+        return shift(seen, first, first_name).select(*groups, *same_sum)
     if first.top:
         n, member = first.top
         each = fact_rows(replace(context, by=(*seen.by, member)), first)
@@ -312,6 +336,7 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
     When the groups come from one dimension, all its members in context are shown.
     """
     frames: dict = {}
+    operands = {name: operand.settled() for name, operand in operands.items()}
     for name, operand in operands.items():
         frames.setdefault(_frame_key(context, operand), {})[name] = operand
     labels = [_label(c) for c in context.by]
