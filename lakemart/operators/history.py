@@ -38,7 +38,7 @@ def history(
     ties: Sequence[str] | None = None,
     form: str = "text",
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = "day",
+    slice_unit: str = "hour",
 ) -> DataFrame:
     """Versions of each key: rows whose tracked columns differ from the row before.
 
@@ -49,7 +49,8 @@ def history(
     Usual keys take one shuffle and one sort, shared by both windows. When some key
     has more than ``hot_rows`` rows, the rows of such keys are cut into time slices,
     each handled on its own; a small table of slice edges carries the last
-    fingerprint and the next start across the cuts.
+    fingerprint and the next start across the cuts. ``slice_unit`` sets the size of a
+    slice ("day" to "second"); edges per key are bounded by the time span.
     """
     order_ties = list(tracked if ties is None else ties)
     rows = df.withColumn("_print", fingerprint(tracked, form))

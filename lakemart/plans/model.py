@@ -26,6 +26,7 @@ B = "fact_daily_balances"
 S = "fact_branch_daily_summary"
 C = "fact_customer_daily_wide"
 DATE, CUSTOMER, BRANCH = "dim_date", "dim_customer", "dim_branch"
+MONTH = "month_key"  # partition column of stored facts: date_key without the day
 
 
 @dataclass(frozen=True)
@@ -171,10 +172,18 @@ def fact_rows(context: Context, operand: Operand) -> DataFrame:
         tables.discard(DATE)
     for table in sorted(tables):
         key = foreign_key(table)
-        members, filtered = _members(seen, table, [F.col(DIMENSION_KEYS[table]).alias("_member")])
+        extra = [F.col(DIMENSION_KEYS[table]).alias("_member")]
+        prunable = table == DATE and MONTH in rows.columns
+        if prunable:
+            extra.append((F.floor(F.col(DIMENSION_KEYS[table]) / 100)).cast("int").alias("_month"))
+        members, filtered = _members(seen, table, extra)
         grouped = any(_table(c) == table for c in seen.by)
         how = "left_semi" if not grouped else "inner" if filtered else "left"
-        rows = rows.join(members, rows[key] == members["_member"], how).drop("_member")
+        same = rows[key] == members["_member"]
+        if prunable and filtered:
+            # true whenever the day matches; on the partition column it prunes months
+            same = same & (rows[MONTH] == members["_month"])
+        rows = rows.join(members, same, how).drop("_member", "_month")
     if operand.dates:
         rows = _in_periods(seen, operand, rows)
     return rows
