@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -32,16 +31,20 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "lakemart")
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for derived tables: the one the cluster names in
     ``spark.checkpoint.dir``. A temporary folder is made only when the setting
     is absent and everything runs in one local process."""
     conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = conf.get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
     if not conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lakemart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="lakemart-")
+    return _local_folders[app]

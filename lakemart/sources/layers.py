@@ -44,9 +44,10 @@ class Layer:
     def overwrite(self, df: DataFrame, table: str, partition_by: Iterable[str] = ()) -> DataFrame:
         """Replace data and schema. Returns the stored table, so what follows reads
         the files and never repeats the work."""
-        writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
+        writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # kept with the table: later inserts replace only the partitions they bring
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.name(table))
         return self.table(table)
 
@@ -73,7 +74,7 @@ class Layer:
             return self.overwrite(balanced, table, [day])
         self._evolve(df, table)
         aligned = self._aligned(balanced, table)
-        aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name(table))
+        aligned.write.mode("overwrite").insertInto(self.name(table))
         return self.table(table)
 
     def _evolve(self, df: DataFrame, table: str) -> None:
