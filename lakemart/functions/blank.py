@@ -33,15 +33,12 @@ def zero(a: Column) -> Column:
 def distinct_sql(column: str, where: str | None = None) -> str:
     """Distinct values of a column, with NULL as one value; blank over no rows.
 
-    The condition is a FILTER clause and not a CASE inside the count: Spark then
-    expands each row once per distinct *column* and not once per condition.
+    A struct is never NULL, so counting structs counts a NULL inside. The condition is
+    a FILTER clause and not a CASE inside the count: all conditions on one column then
+    share its distinct values.
     """
-    if where is None:
-        return f"count(distinct {column}) + max(cast({column} is null as int))"
-    return (
-        f"count(distinct {column}) filter (where {where})"
-        f" + max(case when {where} then cast({column} is null as int) end)"
-    )
+    kept = f" filter (where {where})" if where else ""
+    return f"nullif(count(distinct struct({column})){kept}, 0)"
 
 
 def rows_sql(where: str | None = None) -> str:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 200
@@ -23,8 +24,9 @@ def rank_by_value(
     a new ranking.
     """
     within = list(within)
-    number = F.col(value).cast("decimal(38,2)") if not dict(df.dtypes)[value].startswith("decimal") else F.col(value)
-    rows = df.withColumn("_v", F.coalesce(number, F.lit(0).cast(number_type(df, value))))
+    kind = dict(df.dtypes)[value]
+    kind = kind if kind.startswith("decimal") else "decimal(38,2)"
+    rows = df.withColumn("_v", F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)))
     each = rows.groupBy(*within, "_v").agg(F.sum("_v").alias("_sum"))
 
     shares = [i / buckets for i in range(1, buckets)]
@@ -54,35 +56,37 @@ def rank_by_value(
             "_run": F.sum("_sum").over(here.rowsBetween(Window.unboundedPreceding, 0)),
         }
     )
-    same = _null_safe(placed, totals, [*within, "_bucket"])
-    placed = placed.alias("p").join(totals.alias("t"), same("p", "t")).select(
+    placed = placed.alias("p").join(totals.alias("t"), _same("p", "t", [*within, "_bucket"])).select(
         *(F.col(f"p.{c}") for c in (*within, "_v")),
         (F.col("_rank") + F.col("_ranks_above")).alias(rank),
         (F.col("_run") + F.col("_sum_above")).alias(running),
     )
-    same = _null_safe(rows, placed, [*within, "_v"])
-    return rows.alias("r").join(placed.alias("p"), same("r", "p")).select(
+    return rows.alias("r").join(placed.alias("p"), _same("r", "p", [*within, "_v"])).select(
         *(F.col(f"r.{c}") for c in df.columns), rank, running
     )
 
 
-def number_type(df: DataFrame, value: str) -> str:
-    kind = dict(df.dtypes)[value]
-    return kind if kind.startswith("decimal") else "decimal(38,2)"
-
-
-def _null_safe(a: DataFrame, b: DataFrame, columns: Sequence[str]):
-    def condition(left: str, right: str):
-        out = F.lit(True)
-        for c in columns:
-            out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-        return out
+def top(df: DataFrame, value: str, n: int, within: Sequence[str] = ()) -> DataFrame:
+    """The n greatest rows per group, ties at the last place included.
 
-    return condition
+    Looks at distinct values, not rows: at most n of them per group can qualify, so
+    each map task sends n per group and no amount of ties fills up a task. The rows
+    are then picked by their values.
+    """
+    within = list(within)
+    greatest = Window.partitionBy(*within).orderBy(F.desc_nulls_last(value))
+    before = F.sum("_n").over(greatest.rowsBetween(Window.unboundedPreceding, -1))
+    kept = (
+        df.groupBy(*within, value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_place", F.row_number().over(greatest))
+        .where(F.col("_place") <= n)
+        .withColumn("_before", F.coalesce(before, F.lit(0)))
+        .where(F.col("_before") < n)
+    )
+    return df.alias("d").join(kept.alias("k"), _same("d", "k", [*within, value]), "left_semi")
 
 
-def top(df: DataFrame, value: str, n: int, within: Sequence[str] = ()) -> DataFrame:
-    """The n greatest rows per group, ties at the last place included. Each map task
-    keeps only its own candidates before the shuffle."""
-    window = Window.partitionBy(*within).orderBy(F.desc_nulls_last(value))
-    return df.withColumn("_place", F.rank().over(window)).where(F.col("_place") <= n).drop("_place")
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    """Equality of the columns of two aliased frames, NULL equal to NULL."""
+    return reduce(lambda a, b: a & b, (F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in columns))

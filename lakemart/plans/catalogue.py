@@ -98,7 +98,12 @@ def catalogue(options: Options = Options()) -> dict[str, dict[str, Formula]]:
     by_date, by_customer = (DATE,), (DATE, CUSTOMER)
 
     def distinct(fact: str, column: str, where: str | None = None, **rest) -> Operand:
-        return Operand(fact, distinct_sql(column, where), **rest)
+        return Operand(fact, distinct_sql(column, where), distinct=column, **rest)
+
+    def customers(where: str | None = None, **rest) -> Operand:
+        """Known customers with transactions; none is blank."""
+        known = "customer_key is not null" + (f" and {where}" if where else "")
+        return Operand(T, distinct_sql("customer_key", known), distinct="customer_key", **rest)
 
     def total(fact: str, column: str, where: str | None = None, **rest) -> Operand:
         return Operand(fact, sum_sql(column, where), **rest)
@@ -136,7 +141,7 @@ def catalogue(options: Options = Options()) -> dict[str, dict[str, Formula]]:
         "Fraud Rate % by Channel": ratio("Fraud Transaction Count", Operand(T, "nullif(count(transaction_id), 0)"), None),
         "High Risk Customers Count": (
             distinct(CUSTOMER, "customer_id") if o.literal_customers
-            else Operand(T, f"nullif(count(distinct customer_key) filter (where {fraud}), 0)", clear=clear_fraud)
+            else customers(fraud, clear=clear_fraud)
         ),
         "Fraud Loss Amount": same("Fraud Amount"),
     }
@@ -197,7 +202,7 @@ def catalogue(options: Options = Options()) -> dict[str, dict[str, Formula]]:
         "Avg Loan Disbursement per Branch": ratio("Branch Loan Amount", distinct(BRANCH, "branch_id"), None),
         "Active Customers": (
             distinct(CUSTOMER, "customer_id") if o.literal_customers
-            else Operand(T, "nullif(count(distinct customer_key), 0)", given=((f"{BRANCH}.is_active", (1,)),))
+            else customers(given=((f"{BRANCH}.is_active", (1,)),))
         ),
         "Branch Efficiency Score": ratio("Avg Transactions per Branch", "Active Customers", None),
         "Loan to Deposit Ratio": ratio("Branch Loan Amount", "Branch Balance", None),

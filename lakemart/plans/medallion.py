@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from hashlib import sha1
 from threading import Lock
@@ -39,8 +40,8 @@ class Lake:
     silver: Layer
     gold: Layer
 
-    def star(self) -> dict[str, DataFrame]:
-        return {name: self.gold.table(name) for name in self.gold.tables()}
+    def star(self) -> Mapping[str, DataFrame]:
+        return self.gold.all()
 
 
 def load_raw(raw: Layer, tables: dict[str, DataFrame]) -> None:

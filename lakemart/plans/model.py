@@ -97,6 +97,7 @@ class Operand:
     both:    (other fact, key): count the keys found in both facts instead
     given:   ((column, allowed values), ...): filters of the operand's own, in place
              of the report's filters on those columns
+    distinct: the column whose distinct values the aggregate counts, if it does
     """
 
     fact: str
@@ -107,6 +108,7 @@ class Operand:
     top: tuple[int, str] | None = None
     both: tuple[str, str] | None = None
     given: tuple[tuple[str, tuple], ...] = ()
+    distinct: str | None = None
 
     def reaches(self, column: str) -> bool:
         table = _table(column)
@@ -294,12 +296,18 @@ def _is_shifted_sum(operand: Operand) -> bool:
 
 
 def _frame_key(context: Context, operand: Operand):
-    """Operands with equal keys are aggregated together, in one pass."""
+    """Operands with equal keys are aggregated together, in one pass.
+
+    Distinct counts of different columns stay apart: together they would multiply each
+    row by the number of columns before the shuffle, while apart each pass reads its own
+    column only. Counts of one column under several conditions share a pass.
+    """
     seen = context.only(operand)
     used = {_table(c) for c in (*seen.by, *seen.where)}
     virtual = tuple(sorted((set(operand.through) - related(operand.fact)) & used))
     alone = operand.sql if operand.top or operand.both or _is_shifted_sum(operand) else None
-    return operand.fact, virtual, seen.by, tuple(seen.where), operand.dates, operand.top, operand.both, operand.given, alone
+    special = operand.dates, operand.top, operand.both, operand.given, operand.distinct, alone
+    return operand.fact, virtual, seen.by, tuple(seen.where), special
 
 
 def _one_frame(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
@@ -356,10 +364,7 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
         (full if set(seen) == set(labels) else partial).append((seen, frame, list(members)))
 
     if not labels:
-        grid, rest = full[0][1], full[1:]
-        for _, frame, names in rest:
-            grid = _with_values(grid, frame, names)
-        return grid.select(*operands)
+        return side_by_side([frame for _, frame, _ in full], []).select(*operands)
 
     tables = {_table(c) for c in context.by}
     stacked = [frame for _, frame, _ in full]

@@ -35,6 +35,10 @@ class Layer:
         """The listed tables that exist."""
         return {t: self.table(t) for t in tables if self.exists(t)}
 
+    def all(self) -> Mapping[str, DataFrame]:
+        """The layer's tables by name, each looked up when first asked for."""
+        return _Tables(self)
+
     def tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(f"`{self.database}`"))
 
@@ -96,6 +100,23 @@ class Layer:
         return run_together({name: lambda n=name, df=df: self.overwrite(df, n) for name, df in frames.items()}, at_once)
 
 
+class _Tables(Mapping):
+    def __init__(self, layer: Layer):
+        self._layer = layer
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._layer.table(name)
+        return self._opened[name]
+
+    def __iter__(self):
+        return iter(self._layer.tables())
+
+    def __len__(self) -> int:
+        return len(self._layer.tables())
+
+
 def run_together(tasks: Mapping[str, Callable], at_once: int = 4) -> dict:
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         futures = {name: pool.submit(task) for name, task in tasks.items()}
