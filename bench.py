@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of the source tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs per query after one warm-up (default 3); the median counts
+BENCH_RUNS    timed runs per query after one warm-up (default 1); the median counts
 BENCH_ONLY    comma-separated query names (default: the list below)
 """
 
@@ -35,13 +35,13 @@ def run(query, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n] or HEADLINE
     spark = local_session(cpus, partitions=int(cpus), app="lakemart-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
     start = time.perf_counter()
-    lake(spark, folder)
+    lake(spark, folder).build()
     seconds = {"lake_build": round(time.perf_counter() - start, 3)}
     for name in names:
         run(QUERIES[name], spark, folder)

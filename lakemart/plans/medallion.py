@@ -1,8 +1,9 @@
-"""The layer runner: raw -> silver -> gold, each layer stored before the next reads it."""
+"""The layer runner: raw -> silver -> gold. Each table is stored once and read back by
+whatever builds on it."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from hashlib import sha1
 from threading import Lock
@@ -15,7 +16,7 @@ from ..operators.history import current
 from ..operators.schedule import payment_schedule
 from ..session import shared_folder
 from ..sources import fixtures
-from ..sources.ingest import copy_tables
+from ..sources.ingest import SCHEMA_NAME
 from ..sources.layers import Layer, run_together
 from ..sources.schemas import conform, gold_schema
 from . import gold, silver
@@ -34,94 +35,136 @@ FOREIGN_KEYS = {
 }
 
 
+class BuiltLayer(Layer):
+    """A layer whose tables are built and stored when first asked for."""
+
+    def __init__(self, spark: SparkSession, database: str, folder: str, recipes: Mapping[str, Callable[[], DataFrame]]):
+        super().__init__(spark, database, folder)
+        self._recipes = recipes
+        self._locks = {name: Lock() for name in recipes}
+        self._ready: set[str] = set()
+
+    def table(self, table: str) -> DataFrame:
+        if table in self._recipes and table not in self._ready:
+            with self._locks[table]:
+                if table not in self._ready:
+                    self._store(table, self._recipes[table]())
+                    self._ready.add(table)
+        return super().table(table)
+
+    def query(self, table: str, columns: str = "*") -> DataFrame:
+        self.table(table)
+        return super().query(table, columns)
+
+    def exists(self, table: str) -> bool:
+        return table in self._recipes or super().exists(table)
+
+    def tables(self) -> list[str]:
+        return sorted(self._recipes)
+
+    def _store(self, table: str, df: DataFrame) -> None:
+        if table == "balances_daily":
+            by_day = df.hint("rebalance", "snapshot_date")
+            self.overwrite(by_day, table, ["snapshot_date"])
+        elif table in FOREIGN_KEYS:
+            # Facts are stored by month, so date filters skip whole partitions.
+            # Rebalancing gives each month few files and cuts one too big for a task.
+            monthly = df.withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int"))
+            self.overwrite(monthly.hint("rebalance", MONTH), table, [MONTH])
+        else:
+            self.overwrite(df, table)
+
+
 @dataclass(frozen=True)
 class Lake:
-    raw: Layer
-    silver: Layer
-    gold: Layer
+    raw: BuiltLayer
+    silver: BuiltLayer
+    gold: BuiltLayer
 
     def star(self) -> Mapping[str, DataFrame]:
         return self.gold.all()
 
-
-def load_raw(raw: Layer, tables: dict[str, DataFrame]) -> None:
-    copy_tables(tables, raw)
+    def build(self, at_once: int = 8) -> Lake:
+        """Store every table. Tables that do not wait for each other are written at
+        the same time."""
+        every = [(layer, name) for layer in (self.raw, self.silver, self.gold) for name in layer.tables()]
+        run_together({f"{layer.database}.{name}": lambda la=layer, n=name: la.table(n) for layer, name in every}, at_once)
+        return self
 
 
-def load_silver(raw: Layer, out: Layer, load_ts: str = LOAD_TS, as_of: str = AS_OF) -> None:
+def silver_recipes(raw: Layer, typed: Callable[[str], DataFrame], load_ts: str, as_of: str) -> dict[str, Callable[[], DataFrame]]:
     def source(name: str) -> DataFrame:
-        return raw.query(f"dbo.{name}")
-
-    good, bad = silver.branches(source("branches"), load_ts)
-    out.store_all({
-        "branches": good,
-        "reject_branches": bad,
-        "customers": silver.customers(source("customers"), source("customers_delta"), load_ts),
-        "channels": silver.domain(source("transactions"), "channel", "channel_name"),
-        "txn_types": silver.domain(source("transactions"), "txn_type", "txn_type_name"),
-    })
-    customers, branches = out.table("customers"), out.table("branches")
-    accounts, _ = run_together({
-        "accounts": lambda: out.overwrite(
-            silver.accounts(source("accounts"), source("accounts_delta"), customers, branches, load_ts), "accounts"
+        return raw.query(f"{SCHEMA_NAME}.{name}")
+
+    def accounts() -> DataFrame:
+        return silver.accounts(source("accounts"), source("accounts_delta"), typed("customers"), typed("branches"), load_ts)
+
+    def cards() -> tuple[DataFrame, DataFrame]:
+        return silver.cards(source("cards"), typed("customers"), typed("accounts"), load_ts)
+
+    def transactions() -> DataFrame:
+        parents = (typed(t) for t in ("accounts", "customers", "branches", "channels", "txn_types"))
+        return silver.transactions(source("transactions"), *parents, load_ts)
+
+    def balances() -> DataFrame:
+        parents = (typed(t) for t in ("accounts", "customers", "branches"))
+        return silver.balances(source("balances_daily"), *parents, load_ts)
+
+    return {
+        "branches": lambda: silver.branches(source("branches"), load_ts)[0],
+        "reject_branches": lambda: silver.branches(source("branches"), load_ts)[1],
+        "customers": lambda: silver.customers(source("customers"), source("customers_delta"), load_ts),
+        "channels": lambda: silver.domain(source("transactions"), "channel", "channel_name"),
+        "txn_types": lambda: silver.domain(source("transactions"), "txn_type", "txn_type_name"),
+        "accounts": accounts,
+        "loans": lambda: silver.loans(source("loans"), typed("customers"), typed("branches"), load_ts),
+        "cards": lambda: cards()[0],
+        "reject_cards": lambda: cards()[1],
+        "transactions": transactions,
+        "balances_daily": balances,
+        "loan_payments": lambda: payment_schedule(current(typed("loans")), as_of, load_ts),
+    }
+
+
+def gold_recipes(typed: Layer, star: Callable[[str], DataFrame], load_ts: str, batch: str) -> dict[str, Callable[[], DataFrame]]:
+    def dims() -> dict[str, DataFrame]:
+        return {name: star(name) for name in (*gold.DIMENSION_SOURCES, "dim_date")}
+
+    def results() -> DataFrame:
+        return conform(check(typed, star, batch, load_ts), gold_schema("dq_results"))
+
+    recipes: dict[str, Callable[[], DataFrame]] = {
+        name: lambda n=name, t=table: gold.dimension(n, typed.table(t))
+        for name, (table, _, _) in gold.DIMENSION_SOURCES.items()
+    }
+    recipes |= {
+        "dim_date": lambda: gold.dim_date(typed.present(gold.DATED_TABLES)),
+        "fact_transactions": lambda: gold.fact_transactions(typed.table("transactions"), dims()),
+        "fact_daily_balances": lambda: gold.fact_daily_balances(typed.table("balances_daily"), dims()),
+        "fact_loans": lambda: gold.fact_loans(typed.table("loans"), dims()),
+        "fact_loan_payments": lambda: gold.fact_loan_payments(typed.table("loan_payments"), dims()),
+        "fact_branch_daily_summary": lambda: marts.branch_daily(star("fact_daily_balances")),
+        "fact_branch_daily_wide": lambda: marts.branch_daily_wide(
+            star("fact_transactions"), star("fact_daily_balances"), star("fact_loans"), star("fact_loan_payments")
         ),
-        "loans": lambda: out.overwrite(silver.loans(source("loans"), customers, branches, load_ts), "loans"),
-    }).values()
-    cards, rejects = silver.cards(source("cards"), customers, accounts, load_ts)
-    txns = silver.transactions(
-        source("transactions"), accounts, customers, branches, out.table("channels"), out.table("txn_types"), load_ts
-    )
-    balances = silver.balances(source("balances_daily"), accounts, customers, branches, load_ts)
-    run_together({
-        "cards": lambda: out.overwrite(cards, "cards"),
-        "reject_cards": lambda: out.overwrite(rejects, "reject_cards"),
-        "transactions": lambda: out.overwrite(txns, "transactions"),
-        "balances_daily": lambda: out.replace_days(balances, "balances_daily", "snapshot_date"),
-        "loan_payments": lambda: out.overwrite(
-            payment_schedule(current(out.table("loans")), as_of, load_ts), "loan_payments"
+        "fact_customer_daily_portfolio": lambda: marts.customer_daily(star("fact_loans")),
+        "fact_customer_daily_wide": lambda: marts.customer_daily_wide(
+            star("fact_transactions"), star("fact_daily_balances"), star("fact_loans"), star("dim_card"), star("dim_customer")
         ),
-    })
-
-
-def load_gold(typed: Layer, out: Layer, load_ts: str = LOAD_TS, batch: str = BATCH) -> None:
-    sources = {name: typed.table(table) for name, (table, _, _) in gold.DIMENSION_SOURCES.items()}
-    frames = {name: gold.dimension(name, table) for name, table in sources.items()}
-    out.store_all({**frames, "dim_date": gold.dim_date(typed.present(gold.DATED_TABLES))})
-    dims = {name: out.table(name) for name in (*frames, "dim_date")}
-    facts = {
-        "fact_transactions": gold.fact_transactions(typed.table("transactions"), dims),
-        "fact_daily_balances": gold.fact_daily_balances(typed.table("balances_daily"), dims),
-        "fact_loans": gold.fact_loans(typed.table("loans"), dims),
-        "fact_loan_payments": gold.fact_loan_payments(typed.table("loan_payments"), dims),
+        "dq_results": results,
     }
-    run_together({name: lambda n=name, df=df: _store_fact(out, n, df) for name, df in facts.items()})
-    t, b = out.table("fact_transactions"), out.table("fact_daily_balances")
-    loans, p = out.table("fact_loans"), out.table("fact_loan_payments")
-    out.store_all({
-        "fact_branch_daily_summary": marts.branch_daily(b),
-        "fact_branch_daily_wide": marts.branch_daily_wide(t, b, loans, p),
-        "fact_customer_daily_portfolio": marts.customer_daily(loans),
-        "fact_customer_daily_wide": marts.customer_daily_wide(t, b, loans, dims["dim_card"], dims["dim_customer"]),
-    })
-    out.append(conform(check(typed, out, batch, load_ts), gold_schema("dq_results")), "dq_results")
-
-
-def _store_fact(out: Layer, name: str, fact: DataFrame) -> DataFrame:
-    """Facts are stored by month, so date filters skip whole partitions. Rebalancing
-    gives each month few files and cuts a month too big for one task."""
-    monthly = fact.withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int"))
-    return out.overwrite(monthly.hint("rebalance", MONTH), name, [MONTH])
-
-
-def check(typed: Layer, star: Layer, batch: str = BATCH, executed: str = LOAD_TS) -> DataFrame:
+    return recipes
+
+
+def check(typed: Layer, star: Callable[[str], DataFrame], batch: str = BATCH, executed: str = LOAD_TS) -> DataFrame:
     """Every check of the run in one long table."""
     results = [
         quality.rule_result("branches", "null_branch_id", typed.table("reject_branches")),
         quality.rule_result("cards", "orphan_parent", typed.table("reject_cards")),
-        quality.rule_result("dim_loan", "duplicate_loan_id", quality.duplicate_keys(star.table("dim_loan"), "loan_id")),
+        quality.rule_result("dim_loan", "duplicate_loan_id", quality.duplicate_keys(star("dim_loan"), "loan_id")),
         quality.rule_result("loan_payments", "null_payment_date", typed.table("loan_payments").where("payment_date is null")),
     ]
-    results += [quality.coverage_results(f, star.table(f), keys) for f, keys in FOREIGN_KEYS.items()]
+    results += [quality.coverage_results(f, star(f), keys) for f, keys in FOREIGN_KEYS.items()]
     return quality.collect_results(results, batch, executed)
 
 
@@ -131,12 +174,23 @@ def to_warehouse(star: Layer, warehouse: Layer) -> dict[str, DataFrame]:
     return warehouse.store_all({t: conform(star.table(t), gold_schema(t), fill=True) for t in served})
 
 
-def run(spark: SparkSession, tables: dict[str, DataFrame], root: str, name: str) -> Lake:
-    lake = Lake(*(Layer(spark, f"{name}_{layer}", f"{root}/{layer}") for layer in ("raw", "silver", "gold")))
-    load_raw(lake.raw, tables)
-    load_silver(lake.raw, lake.silver)
-    load_gold(lake.silver, lake.gold)
-    return lake
+def open_lake(
+    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, name: str,
+    load_ts: str = LOAD_TS, as_of: str = AS_OF, batch: str = BATCH,
+) -> Lake:
+    """A lake over the given source tables, stored under ``root`` in databases whose
+    names start with ``name``. Tables are built on demand, or all by ``build()``."""
+    raw = BuiltLayer(
+        spark, f"{name}_raw", f"{root}/raw", {f"{SCHEMA_NAME}.{t}": lambda df=df: df for t, df in tables.items()}
+    )
+    # recipes look their inputs up in the layer they belong to, once it exists
+    typed = BuiltLayer(
+        spark, f"{name}_silver", f"{root}/silver", silver_recipes(raw, lambda t: typed.table(t), load_ts, as_of)
+    )
+    star = BuiltLayer(
+        spark, f"{name}_gold", f"{root}/gold", gold_recipes(typed, lambda t: star.table(t), load_ts, batch)
+    )
+    return Lake(raw, typed, star)
 
 
 _lakes: dict[tuple[str, str], Lake] = {}
@@ -144,12 +198,12 @@ _lock = Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The lake built from a folder of source tables: once per application, under
-    the shared folder."""
+    """The lake over a folder of test tables: one per application, under the shared
+    folder."""
     app = spark.sparkContext.applicationId
     with _lock:
         if (app, sf_dir) not in _lakes:
             tag = sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:10]
             root = f"{shared_folder(spark)}/lakemart_{tag}"
-            _lakes[app, sf_dir] = run(spark, fixtures.raw_tables(spark, sf_dir), root, f"lakemart_{tag}")
+            _lakes[app, sf_dir] = open_lake(spark, fixtures.raw_tables(spark, sf_dir), root, f"lakemart_{tag}")
         return _lakes[app, sf_dir]

@@ -307,7 +307,7 @@ def q_row_counts(spark, sf_dir):
 @query
 def q_dq_results(spark, sf_dir):
     stored = lake(spark, sf_dir)
-    return check(stored.silver, stored.gold)
+    return check(stored.silver, stored.gold.table)
 
 
 @query
