@@ -208,11 +208,13 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
     never by the facts."""
     labels = _date_labels(context)
     days = periods(context)
+    running = None
     for step in operand.dates:
         if step in ("mtd", "ytd"):
-            unit = {"mtd": "month", "ytd": "year"}[step]
-            last = days.groupBy(*labels).agg(F.max("Date").alias("last"))
-            days = last.select(*labels, F.explode(F.sequence(F.trunc("last", unit), "last")).alias("Date"))
+            # only a closing day follows (running sums go their own way): the last day
+            # stands for the period from its month's or year's start
+            running = {"mtd": "month", "ytd": "year"}[step]
+            days = days.groupBy(*labels).agg(F.max("Date").alias("Date"))
         elif step == "previous_month":
             days = _previous_month(days, labels)
         elif step == "closing" and context.closing == "calendar":
@@ -220,7 +222,10 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
         elif step == "closing":
             filled = context.star[operand.fact].select("date_key").distinct()
             filled = filled.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("Date"))
-            days = days.join(filled, "Date").groupBy(*labels).agg(F.max("Date").alias("Date"))
+            if running:
+                days = _last_filled(context, days, filled, running, labels)
+            else:
+                days = days.join(filled, "Date").groupBy(*labels).agg(F.max("Date").alias("Date"))
         elif step == "single":
             one = days.groupBy(*labels).agg(F.max("Date").alias("Date"), F.count(F.lit(1)).alias("_n"))
             days = one.where("_n = 1").drop("_n")
@@ -229,6 +234,15 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
     return days
 
 
+def _last_filled(context: Context, days: DataFrame, filled: DataFrame, unit: str, labels: list[str]) -> DataFrame:
+    """For each group's day, the last day with rows since the start of its month or
+    year. A window holds the days of one period of the calendar."""
+    so_far = Window.partitionBy(F.trunc("Date", unit)).orderBy("Date").rangeBetween(Window.unboundedPreceding, 0)
+    marked = context.star[DATE].select("Date").join(filled.withColumn("_filled", F.col("Date")), "Date", "left")
+    closing = marked.select("Date", F.max("_filled").over(so_far).alias("_closing")).where("_closing is not null")
+    return days.join(closing, "Date").select(*labels, F.col("_closing").alias("Date"))
+
+
 def _previous_month(days: DataFrame, labels: list[str]) -> DataFrame:
     """Each day one month back; a month wholly in the group gives its whole
     predecessor (April 30 days -> March 31 days)."""
