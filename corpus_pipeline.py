@@ -6,12 +6,19 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import dedup, jaccard, packing
-from lakemart.llm.queries import tokenizer
+from lakemart.llm import dedup, jaccard, packing, secret_scan, toxicity
+from lakemart.llm.queries import tokenizer, toxicity_classifier
 from lakemart.session import shared_folder
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Trains on the stage's own documents and drops those it rejects."""
+    scored = toxicity.score(docs, toxicity_classifier(spark, docs, sf_dir), name="_toxicity")
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup.drop_copies(docs)
 
@@ -20,13 +27,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.drop_near_duplicates(docs)
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Owners' credentials are cut out of the texts; widely copied examples stay."""
+    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("secret_scan", redact_secrets),
     ("best_fit_packing", pack),
 ]
 

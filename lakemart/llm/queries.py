@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dedup, jaccard, packing, sharding, urls
+from . import bpe, dedup, jaccard, langid, packing, quality, secret_scan, sharding, toxicity, urls
 
 #: The rules of the URL query: (host, path, verdict).
 URL_RULES = [
@@ -28,6 +29,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Rows that no model learns from; so is a row without an id."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(True))
+
+
+def op1_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judged(documents(spark, sf_dir)).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree(2, 2, 4)
     return sharding.shard_documents(documents(spark, sf_dir), tree, sharding.grown(tree))
@@ -37,10 +48,37 @@ def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op4_script_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.learn(docs.where(~held_out()))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op5_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity_classifier(spark, docs, sf_dir))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
+def toxicity_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Classifier:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.train(docs.where(~held_out()), labels)
+
+
+def op6_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(documents(spark, sf_dir))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir)).drop("row")
 
@@ -50,7 +88,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_hash_tree, op3_url_trie, op7_best_fit, op9_jaccard_join, op10_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_divergence, op2_hash_tree, op3_url_trie, op4_script_viterbi, op5_nnpu, op6_forced_boundaries, op7_best_fit,
+        op8_ownership, op9_jaccard_join, op10_exact_dedup,
+    )
 }
 
 OP3 = r"""
