@@ -17,9 +17,9 @@ COMMON_WORDS: dict[str, list[str]] = {
     "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su"],
 }
 #: Texts with fewer words or characters are not compared.
-MIN_WORDS, MIN_CHARS = 50, 200
+MIN_WORDS, MIN_CHARS = 100, 200
 #: Jensen-Shannon distances (base 2, 0 to 1) beyond which a text is not usual for its language.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.5
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.28
 _CLASSES = 7
 
 
@@ -135,11 +135,20 @@ def judged(
     distances are 0. Rows are judged one by one, so repeated rows and null ids stay.
     """
     rows = store(counted(docs, words, id_col, text_col, lang_col), "counted")
+    # what is unusual against all texts has no say in what is usual
+    first = _measured(rows, references(rows, words))
+    measured = _measured(rows, references(first.where(_usual(max_class, max_word)), words))
+    return measured.withColumn("kept", ~F.col("base_failed") & _usual(max_class, max_word)).drop("classes", "common")
+
+
+def _measured(rows: DataFrame, known: Mapping[str, tuple[list[int], list[int]]]) -> DataFrame:
     class_distance, word_distance = F.lit(0.0), F.lit(0.0)
-    for name, (classes, common) in references(rows, words).items():
+    for name, (classes, common) in known.items():
         here = F.col("spoken") == name
         class_distance = F.when(here & (F.col("n_chars") >= MIN_CHARS), distance(F.col("classes"), classes)).otherwise(class_distance)
         word_distance = F.when(here & (F.col("n_words") >= MIN_WORDS), distance(F.col("common"), common)).otherwise(word_distance)
-    measured = rows.select("*", class_distance.alias("class_distance"), word_distance.alias("word_distance"))
-    usual = (F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word)
-    return measured.withColumn("kept", ~F.col("base_failed") & usual).drop("classes", "common")
+    return rows.select("*", class_distance.alias("class_distance"), word_distance.alias("word_distance"))
+
+
+def _usual(max_class: float, max_word: float) -> Column:
+    return (F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word)
