@@ -9,22 +9,22 @@ from pyspark.sql import functions as F
 
 from .blank import zero
 
-# The fingerprint's separator and its stand-in for NULL.
+# The text form's separator and its stand-in for NULL.
 SEPARATOR = "||"
 NULL_TEXT = "NULL"
 
 
-def fingerprint(columns: Sequence[str], form: str = "text") -> Column:
+def fingerprint(columns: Sequence[str], form: str = "json") -> Column:
     """SHA-256 of the tracked columns.
 
-    ``text`` joins the values by a separator, with a word for NULL: a value equal
-    to that word, or holding the separator, can collide. ``json`` cannot.
+    ``json`` tells all values apart. ``text`` is the fixed older form: values joined by a
+    separator, with a word for NULL; a value equal to that word, or holding the
+    separator, can collide.
     """
     if form == "json":
         body = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     else:
-        parts = (F.ifnull(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in columns)
-        body = F.array_join(F.array(*parts), SEPARATOR)
+        body = F.concat_ws(SEPARATOR, *(F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in columns))
     return F.sha2(body, 256)
 
 

@@ -26,6 +26,7 @@ EXCLUDED_PARTS = (
     "load", "ingest", "audit",
 )
 BUFFER_DAYS = 365
+NO_BOUNDS = "the date columns hold no dates: the calendar has no bounds"
 
 # The calendar's columns and text formats.
 CALENDAR_SQL = {
@@ -99,19 +100,16 @@ def date_bounds(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def calendar(bounds: DataFrame, buffer_days: int = BUFFER_DAYS) -> DataFrame:
     """One row per day from the first bound to the last plus the buffer. The bounds
-    never leave Spark: the days are exploded from a one-row aggregate."""
+    never leave Spark: the days are exploded from a one-row aggregate. Without any
+    bound it fails when it runs."""
     span = bounds.agg(F.min("min_date").alias("first"), F.max("max_date").alias("last"))
-    days = span.select(F.explode(F.sequence("first", F.date_add("last", buffer_days))).alias("Date"))
+    days = F.when(F.col("first").isNull(), F.raise_error(F.lit(NO_BOUNDS))).otherwise(
+        F.sequence("first", F.date_add("last", buffer_days))
+    )
+    days = span.select(F.explode(days).alias("Date"))
     return days.select("Date", *(F.expr(sql).cast(_kind(c)).alias(c) for c, sql in CALENDAR_SQL.items()))
 
 
-def require_bounds(bounds: DataFrame) -> DataFrame:
-    """Fails when no date at all was found; otherwise the bounds unchanged."""
-    if bounds.isEmpty():
-        raise ValueError("the date columns hold no dates: the calendar has no bounds")
-    return bounds
-
-
 def observed_dates(*dates: DataFrame) -> DataFrame:
     """Sparse calendar: only the days found in the given one-column frames."""
     days = reduce(DataFrame.union, (d.toDF("Date") for d in dates)).where("Date is not null").distinct()

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.text import fingerprint
 from .skew import HOT_ROWS, hot_keys, mark_hot
 
-_AFTER_ALL = 2**62  # slice of rows without an event time: they sort last
+_AFTER_ALL = 2**62  # slices of rows without an event time: they sort last
+_TIE_LETTERS = 2  # rows without an event time are sliced by the beginning of the first tie column
 
 
 @dataclass(frozen=True)
@@ -36,9 +37,10 @@ def history(
     tracked: Sequence[str],
     validity: Validity = SECONDS,
     ties: Sequence[str] | None = None,
-    form: str = "text",
-    hot_rows: int = HOT_ROWS,
+    form: str = "json",
+    hot_rows: int | None = HOT_ROWS,
     slice_unit: str = "hour",
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Versions of each key: rows whose tracked columns differ from the row before.
 
@@ -50,15 +52,28 @@ def history(
     has more than ``hot_rows`` rows, the rows of such keys are cut into time slices,
     each handled on its own; a small table of slice edges carries the last
     fingerprint and the next start across the cuts. ``slice_unit`` sets the size of a
-    slice ("day" to "second"); edges per key are bounded by the time span.
+    slice ("day" to "second"); edges per key are bounded by the time span. Rows without a
+    time are cut by the first letters of the first tie column, if it is text. Keys are
+    counted in ``count_in`` (any frame with the key column and at least as many rows of
+    each key; default: ``df`` itself). ``hot_rows`` None: no key can be hot, and
+    nothing is counted.
     """
     order_ties = list(tracked if ties is None else ties)
     rows = df.withColumn("_print", fingerprint(tracked, form))
-    hot, n_hot = hot_keys(df, [key], hot_rows)
+    hot, n_hot = (None, 0) if hot_rows is None else hot_keys(df if count_in is None else count_in, [key], hot_rows)
     if n_hot:
         rows = mark_hot(rows, hot, n_hot, [key], "_hot")
         moment = F.unix_seconds(F.date_trunc(slice_unit, F.col(when).cast("timestamp")))
-        rows = rows.withColumn("_slice", F.when(F.col("_hot"), F.ifnull(moment, F.lit(_AFTER_ALL))).otherwise(F.lit(0)))
+        first = order_ties[0] if order_ties else None
+        if first and dict(df.dtypes)[first] == "string":
+            # in the order of the ties: NULL, then by the first letters
+            begun = F.coalesce(F.concat(F.lit("x"), F.substring(first, 1, _TIE_LETTERS)), F.lit(""))
+            begun = F.when(moment.isNull(), begun).otherwise("")
+        else:
+            begun = F.lit("")
+        cut = F.struct(F.coalesce(moment, F.lit(_AFTER_ALL)).alias("at"), begun.alias("begun"))
+        usual = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("begun"))
+        rows = rows.withColumn("_slice", F.when(F.col("_hot"), cut).otherwise(usual))
         part = [key, "_slice"]
     else:
         part = [key]

@@ -42,8 +42,8 @@ def date_profile(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def date_distribution(df: DataFrame, column: str, amount: str, first: int | None = 100) -> DataFrame:
-    """Rows and total per day, in order; the first days only unless ``first`` is None."""
+def date_distribution(df: DataFrame, column: str, amount: str, first: int | None = None) -> DataFrame:
+    """Rows and total per day, in order; ``first``: only so many days."""
     by_day = df.groupBy(F.to_date(column).alias("payment_dt")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(amount).alias("total_payment")
     )

@@ -8,11 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 200
-
-
 def rank_by_value(
-    df: DataFrame, value: str, within: Sequence[str] = (), rank: str = "rank", running: str = "running", buckets: int = BUCKETS
+    df: DataFrame, value: str, within: Sequence[str] = (), rank: str = "rank", running: str = "running", buckets: int | None = None
 ) -> DataFrame:
     """Adds the dense rank of each row's value, greatest first, and the sum of all
     values at least as great (ties included); a blank value counts as zero.
@@ -20,20 +17,22 @@ def rank_by_value(
     Equal values are merged before anything is ordered. The distinct values are cut
     into value buckets at approximate percentiles (a list of ``buckets`` numbers),
     ordered inside each bucket, and shifted by the totals of the buckets above. The
-    cuts need not be exact: any cuts give the same result. ``within`` columns start
-    a new ranking.
+    cuts need not be exact: any cuts give the same result. By default there are as
+    many buckets as shuffle partitions. ``within`` columns start a new ranking.
     """
     within = list(within)
     kind = dict(df.dtypes)[value]
-    kind = kind if kind.startswith("decimal") else "decimal(38,2)"
-    rows = df.withColumn("_v", F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)))
-    each = rows.groupBy(*within, "_v").agg(F.sum("_v").alias("_sum"))
+    # values are compared in their own type; sums of whole numbers get room to grow
+    wide = kind if kind.startswith("decimal") or kind in ("float", "double") else "decimal(38,0)"
+    rows = df.withColumn("_v", F.coalesce(F.col(value), F.lit(0).cast(kind)))
+    each = rows.groupBy(*within, "_v").agg(F.sum(F.col("_v").cast(wide)).alias("_sum"))
 
+    buckets = buckets or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = each.agg(F.percentile_approx(F.col("_v").cast("double"), shares, 10_000).alias("cuts")).first()["cuts"]
+    cuts = each.agg(F.percentile_approx(F.col("_v").cast("double"), shares, 1_000).alias("cuts")).first()["cuts"]
     if cuts:
         # how many cuts lie below the value
-        cut_list = F.expr("array(" + ", ".join(f"{c!r}D" for c in sorted(set(cuts))) + ")")
+        cut_list = F.array(*(F.lit(float(c)) for c in sorted(set(cuts))))
         bucket = F.size(F.filter(cut_list, lambda c: c < F.col("_v").cast("double")))
     else:
         bucket = F.lit(0)

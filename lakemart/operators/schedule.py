@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# What an instalment's status says.
+# What an instalment's status says, and the output columns below.
 PAID, PENDING = "PAID", "PENDING"
 
 
@@ -30,7 +30,7 @@ def payment_schedule(
             F.explode(F.sequence(F.lit(1), "tenure_months")).alias("installment_no"),
         )
         .select(
-            F.concat_ws("_", "loan_id", F.col("installment_no").cast("string")).alias("payment_id"),
+            F.concat("loan_id", F.lit("_"), F.col("installment_no").cast("string")).alias("payment_id"),
             "loan_id", "customer_id", "branch_id", "installment_no",
             due.alias("payment_date"),
             F.round(F.col("principal_amount") / F.col("tenure_months"), 2).cast("decimal(19,2)").alias("payment_amount"),

@@ -8,8 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .integrity import Parent, keep_children
-
 
 class Lookup(NamedTuple):
     dimension: DataFrame
@@ -37,8 +35,3 @@ def attach_keys(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     fetched = {look.key: f"_key{i}" for i, look in enumerate(lookups)}
     kept = [c for c in columns if c not in fetched]
     return facts.select(*kept, *(F.col(temporary).alias(key) for key, temporary in fetched.items()))
-
-
-def only_known(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Facts whose every plain business key is in its dimension."""
-    return keep_children(facts, {look.on: Parent(look.dimension, look.business_key) for look in lookups})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.calendar import calendar, date_bounds, require_bounds
+from ..operators.calendar import calendar, date_bounds
 from ..operators.history import current
 from ..operators.keys import with_surrogate_key
 from ..operators.star import Lookup, attach_keys
@@ -54,7 +54,7 @@ def dimension(name: str, silver: DataFrame) -> DataFrame:
 
 
 def dim_date(tables: dict[str, DataFrame]) -> DataFrame:
-    return calendar(require_bounds(date_bounds(tables)))
+    return calendar(date_bounds(tables))
 
 
 def _day(column: str):

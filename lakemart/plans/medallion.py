@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from hashlib import sha1
 from threading import Lock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,10 @@ from ..sources import fixtures
 from ..sources.ingest import SCHEMA_NAME
 from ..sources.layers import Layer, run_together
 from ..sources.schemas import conform, gold_schema
-from . import gold, silver
+from . import gold, loads, silver
 from .model import MONTH
 
-# One load time and one "today" make runs repeatable.
+# The test lake's load time, "today" and batch: its runs are repeatable.
 LOAD_TS = "2024-02-01 00:00:00"
 AS_OF = "2000-01-01"
 BATCH = "batch-1"
@@ -36,20 +38,32 @@ FOREIGN_KEYS = {
 
 
 class BuiltLayer(Layer):
-    """A layer whose tables are built and stored when first asked for."""
+    """A layer whose tables are built and stored when first asked for. Tables that are
+    stored already, by this session or an earlier one, are read; ``refresh`` makes them
+    be built anew."""
 
     def __init__(self, spark: SparkSession, database: str, folder: str, recipes: Mapping[str, Callable[[], DataFrame]]):
         super().__init__(spark, database, folder)
         self._recipes = recipes
         self._locks = {name: Lock() for name in recipes}
         self._ready: set[str] = set()
+        self._stale: set[str] = set()
+
+    def refresh(self, *tables: str) -> None:
+        """The named tables, or all, are built again when next asked for."""
+        chosen = set(tables or self._recipes)
+        self._ready -= chosen
+        self._stale |= chosen
 
     def table(self, table: str) -> DataFrame:
         if table in self._recipes and table not in self._ready:
             with self._locks[table]:
                 if table not in self._ready:
-                    self._store(table, self._recipes[table]())
+                    if table in self._stale or not self.adopt(table):
+                        self._store(table, self._recipes[table]())
+                        self.mark_stored(table)
                     self._ready.add(table)
+                    self._stale.discard(table)
         return super().table(table)
 
     def query(self, table: str, columns: str = "*") -> DataFrame:
@@ -63,7 +77,7 @@ class BuiltLayer(Layer):
         return sorted(self._recipes)
 
     def _store(self, table: str, df: DataFrame) -> None:
-        if table == "balances_daily":
+        if table.removeprefix(f"{SCHEMA_NAME}.") == loads.BALANCES:
             by_day = df.hint("rebalance", "snapshot_date")
             self.overwrite(by_day, table, ["snapshot_date"])
         elif table in FOREIGN_KEYS:
@@ -84,6 +98,18 @@ class Lake:
     def star(self) -> Mapping[str, DataFrame]:
         return self.gold.all()
 
+    def load_balances(self, new: DataFrame, load_ts: str | None = None) -> None:
+        """A daily load of balances; see ``loads.load_balances``."""
+        for layer, table in ((self.raw, f"{SCHEMA_NAME}.{loads.BALANCES}"), (self.silver, loads.BALANCES), (self.gold, "fact_daily_balances")):
+            layer.table(table)  # what there was before
+        loads.load_balances(self.raw, self.silver, self.gold, new, self.silver.table, self.gold.table, load_ts)
+
+    def record_checks(self, batch: str | None = None, executed: str | None = None) -> DataFrame:
+        """Runs every check again and adds its results to the stored ones."""
+        self.gold.table("dq_results")
+        now = executed or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        return loads.record_checks(self.gold, check(self.silver, self.gold.table, batch or uuid4().hex, now))
+
     def build(self, at_once: int = 8) -> Lake:
         """Store every table. Tables that do not wait for each other are written at
         the same time."""
@@ -92,15 +118,16 @@ class Lake:
         return self
 
 
-def silver_recipes(raw: Layer, typed: Callable[[str], DataFrame], load_ts: str, as_of: str) -> dict[str, Callable[[], DataFrame]]:
+def silver_recipes(raw: Layer, typed: Callable[[str], DataFrame], load_ts: str | None, as_of: str | None) -> dict[str, Callable[[], DataFrame]]:
     def source(name: str) -> DataFrame:
         return raw.query(f"{SCHEMA_NAME}.{name}")
 
     def accounts() -> DataFrame:
         return silver.accounts(source("accounts"), source("accounts_delta"), typed("customers"), typed("branches"), load_ts)
 
-    def cards() -> tuple[DataFrame, DataFrame]:
-        return silver.cards(source("cards"), typed("customers"), typed("accounts"), load_ts)
+    def checked(name: str, accepted: bool) -> DataFrame:
+        verdict = F.col(silver.ACCEPTED)
+        return typed(f"checked_{name}").where(verdict if accepted else ~verdict).drop(silver.ACCEPTED)
 
     def transactions() -> DataFrame:
         parents = (typed(t) for t in ("accounts", "customers", "branches", "channels", "txn_types"))
@@ -111,15 +138,17 @@ def silver_recipes(raw: Layer, typed: Callable[[str], DataFrame], load_ts: str,
         return silver.balances(source("balances_daily"), *parents, load_ts)
 
     return {
-        "branches": lambda: silver.branches(source("branches"), load_ts)[0],
-        "reject_branches": lambda: silver.branches(source("branches"), load_ts)[1],
+        "checked_branches": lambda: silver.checked_branches(source("branches"), load_ts),
+        "branches": lambda: checked("branches", True),
+        "reject_branches": lambda: checked("branches", False),
         "customers": lambda: silver.customers(source("customers"), source("customers_delta"), load_ts),
         "channels": lambda: silver.domain(source("transactions"), "channel", "channel_name"),
         "txn_types": lambda: silver.domain(source("transactions"), "txn_type", "txn_type_name"),
         "accounts": accounts,
         "loans": lambda: silver.loans(source("loans"), typed("customers"), typed("branches"), load_ts),
-        "cards": lambda: cards()[0],
-        "reject_cards": lambda: cards()[1],
+        "checked_cards": lambda: silver.checked_cards(source("cards"), typed("customers"), typed("accounts"), load_ts),
+        "cards": lambda: checked("cards", True),
+        "reject_cards": lambda: checked("cards", False),
         "transactions": transactions,
         "balances_daily": balances,
         "loan_payments": lambda: payment_schedule(current(typed("loans")), as_of, load_ts),
@@ -176,10 +205,16 @@ def to_warehouse(star: Layer, warehouse: Layer) -> dict[str, DataFrame]:
 
 def open_lake(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str, name: str,
-    load_ts: str = LOAD_TS, as_of: str = AS_OF, batch: str = BATCH,
+    load_ts: str | None = None, as_of: str | None = None, batch: str | None = None,
 ) -> Lake:
     """A lake over the given source tables, stored under ``root`` in databases whose
-    names start with ``name``. Tables are built on demand, or all by ``build()``."""
+    names start with ``name``. Tables are built on demand, or all by ``build()``; those
+    that an earlier session stored under ``root`` are read and not built again (see
+    ``BuiltLayer.refresh``). By default rows carry the time of this call, payments are
+    judged by today's date, and the batch is a new one.
+    """
+    load_ts = load_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    batch = batch or uuid4().hex
     raw = BuiltLayer(
         spark, f"{name}_raw", f"{root}/raw", {f"{SCHEMA_NAME}.{t}": lambda df=df: df for t, df in tables.items()}
     )
@@ -198,12 +233,13 @@ _lock = Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The lake over a folder of test tables: one per application, under the shared
-    folder."""
+    """The lake over a folder of test tables, under the shared folder: one for each
+    application, so that tests of changed code never read what older code stored."""
     app = spark.sparkContext.applicationId
     with _lock:
         if (app, sf_dir) not in _lakes:
             tag = sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:10]
             root = f"{shared_folder(spark)}/lakemart_{tag}"
-            _lakes[app, sf_dir] = open_lake(spark, fixtures.raw_tables(spark, sf_dir), root, f"lakemart_{tag}")
+            tables = fixtures.raw_tables(spark, sf_dir)
+            _lakes[app, sf_dir] = open_lake(spark, tables, root, f"lakemart_{tag}", LOAD_TS, AS_OF, BATCH)
         return _lakes[app, sf_dir]

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import band, first_word
 from ..operators.calendar import date_key
 from ..operators.marts import side_by_side
 from ..operators.ranking import top
@@ -65,10 +66,43 @@ def foreign_key(dimension: str) -> str:
     return DIMENSION_KEYS[dimension].lower()
 
 
+# Computed columns, by the names reports know them by.
+COMPUTED = {"Loan Bucket": "dim_customer.Loan_Bucket", "First Word": "dim_branch.First_Word"}
+
+
+def with_computed(star: Mapping[str, DataFrame], used: Sequence[str], limits: Sequence[float], names: Sequence[str]) -> Mapping[str, DataFrame]:
+    """The star with the computed columns that a report uses: the band of each
+    customer's whole exposure, and the first word of a branch's name."""
+    changed = {}
+    if COMPUTED["Loan Bucket"] in used:
+        exposure = star[L].groupBy("customer_key").agg(F.sum("principal_amount").alias("_exposure"))
+        customers = star[CUSTOMER].join(exposure, "customer_key", "left")
+        changed[CUSTOMER] = customers.withColumn("Loan_Bucket", band(F.col("_exposure"), limits, names)).drop("_exposure")
+    if COMPUTED["First Word"] in used:
+        changed[BRANCH] = star[BRANCH].withColumn("First_Word", first_word(F.col("branch_name")))
+    return _Changed(star, changed) if changed else star
+
+
 def related(fact: str) -> set[str]:
     return {r.dimension for r in RELATIONSHIPS if r.fact == fact and r.active}
 
 
+class _Changed(Mapping):
+    """A star with some tables in another form."""
+
+    def __init__(self, star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]):
+        self._star, self._tables = star, tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name] if name in self._tables else self._star[name]
+
+    def __iter__(self):
+        return iter(self._star)
+
+    def __len__(self) -> int:
+        return len(self._star)
+
+
 Filter = Sequence | Callable[[Column], Column]
 
 
@@ -194,6 +228,22 @@ def fact_rows(context: Context, operand: Operand) -> DataFrame:
 # -- date contexts ---------------------------------------------------------------
 
 
+def _in_reach(context: Context, rows: DataFrame) -> DataFrame:
+    """The fact's rows that any date step can look at, when the report filters dates:
+    from the start of the year a month before the first day shown, to the last one. The
+    two days come from the calendar; as literals they prune the fact's months."""
+    if not any(_table(c) == DATE for c in context.where):
+        return rows
+    first = F.date_format(F.trunc(F.add_months(F.min("Date"), -1), "year"), "yyyyMMdd").cast("int")
+    span = periods(context).agg(first.alias("first"), date_key(F.max("Date")).alias("last")).first()
+    if span["first"] is None:
+        return rows.where(F.lit(False))
+    inside = F.col("date_key").between(span["first"], span["last"])
+    if MONTH in rows.columns:
+        inside = inside & F.col(MONTH).between(span["first"] // 100, span["last"] // 100)
+    return rows.where(inside)
+
+
 def periods(context: Context) -> DataFrame:
     """The calendar days of each date group: the group's columns and ``Date``."""
     return _members(context, DATE, ["Date"])[0]
@@ -220,7 +270,7 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
         elif step == "closing" and context.closing == "calendar":
             days = days.groupBy(*labels).agg(F.max("Date").alias("Date"))
         elif step == "closing":
-            filled = context.star[operand.fact].select("date_key").distinct()
+            filled = _in_reach(context, context.star[operand.fact]).select("date_key").distinct()
             filled = filled.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("Date"))
             if running:
                 days = _last_filled(context, days, filled, running, labels)
@@ -257,7 +307,11 @@ def _previous_month(days: DataFrame, labels: list[str]) -> DataFrame:
 
 def _in_periods(context: Context, operand: Operand, rows: DataFrame) -> DataFrame:
     days = shifted_periods(context, operand).withColumn("_day", date_key("Date")).drop("Date")
-    return rows.join(days, rows["date_key"] == days["_day"]).drop("_day")
+    days = days.withColumn("_month", F.floor(F.col("_day") / 100).cast("int"))
+    same = rows["date_key"] == days["_day"]
+    if MONTH in rows.columns:
+        same = same & (rows[MONTH] == days["_month"])  # true whenever the day matches; it prunes months
+    return _in_reach(context, rows).join(days, same).drop("_day", "_month")
 
 
 def _daily(context: Context, operand: Operand) -> tuple[DataFrame, list[str]]:
@@ -267,7 +321,8 @@ def _daily(context: Context, operand: Operand) -> tuple[DataFrame, list[str]]:
     other = tuple(c for c in context.by if _table(c) != DATE)
     undated = replace(context, by=other, where={c: f for c, f in context.where.items() if _table(c) != DATE})
     groups = [_label(c) for c in other]
-    rows = fact_rows(undated, replace(operand, dates=()))
+    reached = {operand.fact: _in_reach(context, context.star[operand.fact])}
+    rows = fact_rows(replace(undated, star=_Changed(context.star, reached)), replace(operand, dates=()))
     return rows.groupBy(*groups, "date_key").agg(F.expr(operand.sql).alias("_total")), groups
 
 

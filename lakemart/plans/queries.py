@@ -16,7 +16,7 @@ from ..functions.rules import day, moment, money, whole
 from ..functions.text import first_word
 from ..operators import marts, quality
 from ..operators.calendar import date_bounds, observed_dates
-from ..operators.cleaning import clean
+from ..operators.cleaning import clean, rename, require_keys
 from ..operators.history import MICROS, SECONDS, current, history
 from ..operators.latest import latest
 from ..operators.ranking import rank_by_value, top
@@ -27,8 +27,9 @@ from ..sources.ingest import convert, copy_folder
 from ..sources.layers import Layer
 from ..sources.schemas import conform, gold_schema
 from . import gold, silver
+from .loads import BALANCES, load_balances, record_checks
 from .medallion import AS_OF, FOREIGN_KEYS, LOAD_TS, check, lake, to_warehouse
-from .model import BRANCH, CUSTOMER, DATE, L, P, T
+from .model import BRANCH, CUSTOMER, DATE, MONTH, L, P, T
 from .report import pack, report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,12 @@ DIRTY_AMOUNTS = """
 """
 
 
+BLANK_KEYS = """
+    SELECT CASE WHEN event_id % 7 = 0 THEN '  ' WHEN event_id % 11 <> 0 THEN cast(user_id AS string) END AS cust, event_type, event_id
+    FROM {events}
+"""
+
+
 def plain(df: DataFrame) -> DataFrame:
     def shown(name: str, kind: str):
         c = F.col(f"`{name}`")
@@ -80,6 +87,14 @@ def q_clean_customers(spark, sf_dir):
     return silver.clean_customers(_raw(spark, sf_dir, "customers"), _raw(spark, sf_dir, "customers_delta"), LOAD_TS)
 
 
+@query
+def q_rename_known_keys(spark, sf_dir):
+    """Renamed where present; blank keys count as missing."""
+    changes = spark.sql(BLANK_KEYS, events=fixtures.source_table(spark, sf_dir, "events"))
+    renamed = rename(changes, {"cust": "customer_id", "not_there": "x", "event_type": "event_id"})
+    return require_keys(renamed, ["customer_id"], blank_is_missing=True)
+
+
 @query
 def q_clean_amounts(spark, sf_dir):
     dirty = spark.sql(DIRTY_AMOUNTS, orders=fixtures.source_table(spark, sf_dir, "orders"))
@@ -254,7 +269,7 @@ def q_payment_profile(spark, sf_dir):
 
 @query
 def q_payment_distribution(spark, sf_dir):
-    return quality.date_distribution(lake(spark, sf_dir).silver.table("loan_payments"), "payment_date", "payment_amount")
+    return quality.date_distribution(lake(spark, sf_dir).silver.table("loan_payments"), "payment_date", "payment_amount", first=100)
 
 
 @query
@@ -320,13 +335,49 @@ def _scratch(spark, sf_dir, name: str) -> Layer:
     return Layer(spark, f"{tag}_{name}", f"{shared_folder(spark)}/{tag}/{name}")
 
 
+@query
+def q_recreate(spark, sf_dir):
+    """Dropped and written again: nothing of the earlier table stays."""
+    area = _scratch(spark, sf_dir, "recreate")
+    area.recreate(_raw(spark, sf_dir, "branches"), "changes")
+    area.recreate(_raw(spark, sf_dir, "customer_changes"), "changes")
+    return area.table("changes")
+
+
 @query
 def q_balances_append(spark, sf_dir):
-    """Loaded twice by day: the result equals one load."""
+    """Two loads that share days: the second load's days replace the first's, others stay."""
     area = _scratch(spark, sf_dir, "append")
-    balances = _raw(spark, sf_dir, "balances_daily")
-    area.replace_days(balances, "balances_daily", "snapshot_date")
-    return area.replace_days(balances, "balances_daily", "snapshot_date")
+    area.drop("balances_daily")
+    balances, date = _raw(spark, sf_dir, "balances_daily"), F.dayofmonth("snapshot_date")
+    area.replace_days(balances.where(date <= 20).withColumn("end_of_day_balance", F.lit(0.0)), "balances_daily", "snapshot_date")
+    return area.replace_days(balances.where(date >= 10), "balances_daily", "snapshot_date")
+
+
+@query
+def q_daily_load(spark, sf_dir):
+    """Days 1 to 20, the last of them still wrong, then days 15 to 30: the fact equals one load of all."""
+    stored = lake(spark, sf_dir)
+    areas = [_scratch(spark, sf_dir, f"load_{layer}") for layer in ("raw", "silver", "gold")]
+    for area in areas:
+        area.drop(BALANCES)
+        area.drop("fact_daily_balances")
+    balances, date = _raw(spark, sf_dir, "balances_daily"), F.dayofmonth("snapshot_date")
+    wrong = F.when(date >= 15, -F.col("end_of_day_balance")).otherwise(F.col("end_of_day_balance"))
+    first = balances.where(date <= 20).withColumn("end_of_day_balance", wrong)
+    for days in (first, balances.where(date >= 15)):
+        load_balances(*areas, days, stored.silver.table, stored.gold.table, LOAD_TS)
+    return areas[2].table("fact_daily_balances").drop(MONTH)
+
+
+@query
+def q_dq_history(spark, sf_dir):
+    """Two runs of the checks: the results of both stay."""
+    stored, area = lake(spark, sf_dir), _scratch(spark, sf_dir, "checks")
+    area.drop("dq_results")
+    for batch in ("batch-1", "batch-2"):
+        record_checks(area, check(stored.silver, stored.gold.table, batch))
+    return area.table("dq_results")
 
 
 @query
@@ -342,7 +393,8 @@ def q_balances_evolve(spark, sf_dir):
 @query
 def q_ingest_all(spark, sf_dir):
     copied = copy_folder(spark, sf_dir, _scratch(spark, sf_dir, "copies"))
-    return quality.row_counts(copied).orderBy("table_name")
+    by_table = {name.split(".", 1)[1]: df for name, df in copied.items()}
+    return quality.row_counts(by_table).orderBy("table_name")
 
 
 @query
@@ -377,6 +429,13 @@ def q_rank_running_within(spark, sf_dir):
     return rank_by_value(_spending(spark, sf_dir), "spent", ["c_mktsegment"])
 
 
+@query
+def q_rank_running_double(spark, sf_dir):
+    """Doubles that differ in the third place; eighths, so that any order of adding is exact."""
+    eighths = (F.round(F.col("spent") * 100) / 8).cast("double")
+    return rank_by_value(_spending(spark, sf_dir).select("o_custkey", eighths.alias("spent")), "spent")
+
+
 @query
 def q_top_with_ties(spark, sf_dir):
     return top(_spending(spark, sf_dir), "spent", 10, ["c_mktsegment"])
@@ -414,6 +473,9 @@ PACKS: dict[str, tuple[str, tuple[str, ...], dict]] = {
     "m_portfolio_calendar": ("portfolio", BY_MONTH, {"closing": "calendar"}),
     "m_time_month": ("time", BY_MONTH, {}),
     "m_time_day": ("time", BY_DAY, {}),
+    # one year: only the months within its reach are read
+    "m_time_filtered": ("time", BY_MONTH, {"where": {"dim_date.Year": [1998]}}),
+    "m_deposit_filtered": ("deposit", BY_MONTH, {"where": {"dim_date.Year": [2024]}}),
     "m_pareto": ("pareto", ("dim_customer.full_name",), {}),
     # filters: the segment reaches transactions, and loans only virtually
     "m_txn_filtered": (
@@ -441,6 +503,12 @@ for _name in PACKS:
     query(_pack_query(_name))
 
 
+@query
+def m_bucket(spark, sf_dir):
+    names = ["Customers per Bucket", "Distinct Borrowers by Bucket", "Exposure %"]
+    return report(lake(spark, sf_dir).star(), names, ["Loan Bucket"])
+
+
 @query
 def m_txn_region_month(spark, sf_dir):
     names = ["Total Transactions", "Total Transaction Amount", "Transaction Amount MTD", "Transaction Amount YTD",

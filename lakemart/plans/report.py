@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_by_value
 from .catalogue import NAMES, Options, Ranked, catalogue, measures, slug
-from .model import Context, Filter, Operand, _label, evaluate
+from .model import COMPUTED, Context, Filter, Operand, _label, evaluate, with_computed
 
 
 class _Resolver:
@@ -59,9 +59,13 @@ def report(
     """One row per group, one column per measure (its name as a column name).
 
     ``by`` are "table.column" names; a group without a member is NULL. ``where`` maps
-    such names to allowed values, or to a function of the column.
+    such names to allowed values, or to a function of the column. Computed columns go by
+    their own names: "Loan Bucket" (of customers), "First Word" (of branch names).
     """
-    context = Context(star, tuple(by), dict(where or {}), closing)
+    by = [COMPUTED.get(c, c) for c in by]
+    where = {COMPUTED.get(c, c): wanted for c, wanted in (where or {}).items()}
+    star = with_computed(star, [*by, *where], options.limits, options.bands)
+    context = Context(star, tuple(by), where, closing)
     resolver = _Resolver(options)
     columns = [resolver(name).alias(slug(name)) for name in names]
     for ranked in list(resolver.ranked.values()):

@@ -6,13 +6,15 @@ written here.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import code, day, lower_text, moment, money, rate, text, whole
 from ..operators.cleaning import audited, clean, event_time, merge_changes, require_keys, split
 from ..operators.history import MICROS, SECONDS, history
-from ..operators.integrity import Parent, keep_children, split_orphans
+from ..operators.integrity import Parent, keep_children, mark_orphans, split_orphans
 from ..operators.latest import latest
 
 CUSTOMER_RULES = {
@@ -46,6 +48,9 @@ LOAN_RULES = {
     "interest_rate_apr": rate, "principal_amount": money, "tenure_months": whole,
 }
 
+# The verdict on a row of a checked table.
+ACCEPTED = "accepted"
+
 # The columns whose change makes a new version.
 CUSTOMER_TRACKED = (
     "full_name", "dob", "gender", "pan", "phone", "email", "address",
@@ -57,6 +62,8 @@ ACCOUNT_TRACKED = (
 LOAN_TRACKED = (
     "customer_id", "branch_id", "status", "start_date", "interest_rate_apr", "principal_amount", "tenure_months",
 )
+# What settles the order of loans of equal start and principal.
+LOAN_TIES = ("branch_id", "customer_id", "interest_rate_apr", "status", "tenure_months", "record_source")
 
 
 def clean_customers(base: DataFrame, delta: DataFrame, load_ts=None) -> DataFrame:
@@ -64,13 +71,16 @@ def clean_customers(base: DataFrame, delta: DataFrame, load_ts=None) -> DataFram
     return require_keys(rows, ["customer_id"])
 
 
-def _versions(rows: DataFrame, key: str, tracked, load_ts) -> DataFrame:
+def _versions(rows: DataFrame, key: str, tracked, load_ts, sources: tuple[DataFrame, ...]) -> DataFrame:
+    """Busy keys are counted in the sources' key column, not on the rows: that leaves
+    out all the work that made them, and can only find more keys."""
     timed = rows.withColumn("_at", event_time(["updated_at", "created_at"], load_ts))
-    return history(timed, key, "_at", tracked, SECONDS, ties=[*tracked, "record_source"]).drop("_at")
+    named = reduce(DataFrame.unionByName, (s.select(text(F.col(key)).alias(key)) for s in sources))
+    return history(timed, key, "_at", tracked, SECONDS, ties=[*tracked, "record_source"], count_in=named).drop("_at")
 
 
 def customers(base: DataFrame, delta: DataFrame, load_ts=None) -> DataFrame:
-    return _versions(clean_customers(base, delta, load_ts), "customer_id", CUSTOMER_TRACKED, load_ts)
+    return _versions(clean_customers(base, delta, load_ts), "customer_id", CUSTOMER_TRACKED, load_ts, (base, delta))
 
 
 def branches(raw: DataFrame, load_ts=None) -> tuple[DataFrame, DataFrame]:
@@ -81,13 +91,28 @@ def branches(raw: DataFrame, load_ts=None) -> tuple[DataFrame, DataFrame]:
 def accounts(base: DataFrame, delta: DataFrame, customers: DataFrame, branches: DataFrame, load_ts=None) -> DataFrame:
     rows = require_keys(audited(clean(merge_changes(base, delta), ACCOUNT_RULES), load_ts), ["account_id"])
     parents = {"customer_id": Parent(customers, "customer_id"), "branch_id": Parent(branches, "branch_id")}
-    return _versions(keep_children(rows, parents), "account_id", ACCOUNT_TRACKED, load_ts)
+    return _versions(keep_children(rows, parents), "account_id", ACCOUNT_TRACKED, load_ts, (base, delta))
+
+
+def _card_parents(customers: DataFrame, accounts: DataFrame) -> dict[str, Parent]:
+    return {"customer_id": Parent(customers, "customer_id"), "linked_account_id": Parent(accounts, "account_id")}
 
 
 def cards(raw: DataFrame, customers: DataFrame, accounts: DataFrame, load_ts=None) -> tuple[DataFrame, DataFrame]:
     """(cards, rejected): a card of an unknown customer or account is rejected."""
-    parents = {"customer_id": Parent(customers, "customer_id"), "linked_account_id": Parent(accounts, "account_id")}
-    return split_orphans(audited(clean(raw, CARD_RULES), load_ts), parents)
+    return split_orphans(audited(clean(raw, CARD_RULES), load_ts), _card_parents(customers, accounts))
+
+
+def checked_cards(raw: DataFrame, customers: DataFrame, accounts: DataFrame, load_ts=None) -> DataFrame:
+    """All cards with ``accepted``: stored once, both halves are read from there."""
+    rows = audited(clean(raw, CARD_RULES), load_ts)
+    parents = _card_parents(customers, accounts)
+    found = [F.col(f"_found_{c}") for c in parents]
+    return mark_orphans(rows, parents).select(*rows.columns, reduce(lambda a, b: a & b, found).alias(ACCEPTED))
+
+
+def checked_branches(raw: DataFrame, load_ts=None) -> DataFrame:
+    return audited(clean(raw, BRANCH_RULES), load_ts).withColumn(ACCEPTED, F.col("branch_id").isNotNull())
 
 
 def domain(raw: DataFrame, column: str, name: str) -> DataFrame:
@@ -103,7 +128,9 @@ def transactions(
     raw: DataFrame, accounts: DataFrame, customers: DataFrame, branches: DataFrame,
     channels: DataFrame, txn_types: DataFrame, load_ts=None,
 ) -> DataFrame:
-    newest = latest(clean_transactions(raw, load_ts), "transaction_id", ["transaction_ts"], ["amount", "account_id"])
+    rows = clean_transactions(raw, load_ts)
+    ties = ["amount", "account_id", *sorted({*TRANSACTION_RULES, "record_source"} - {"transaction_id", "transaction_ts", "amount", "account_id"})]
+    newest = latest(rows, "transaction_id", ["transaction_ts"], ties)
     parents = {
         "account_id": Parent(accounts, "account_id"),
         "customer_id": Parent(customers, "customer_id"),
@@ -125,13 +152,12 @@ def balances(raw: DataFrame, accounts: DataFrame, customers: DataFrame, branches
 
 def newest_loans(raw: DataFrame, load_ts=None) -> DataFrame:
     """One row per loan id. Loans carry no change time, so the order is made
-    explicit: latest start, then greatest principal, then source row."""
+    explicit: latest start, then greatest principal, then all other columns."""
     rows = require_keys(audited(clean(raw, LOAN_RULES), load_ts), ["loan_id"])
-    ties = ["principal_amount", *(c for c in ["source_row"] if c in rows.columns)]
-    return latest(rows, "loan_id", ["start_date"], ties)
+    return latest(rows, "loan_id", ["start_date"], ["principal_amount", *LOAN_TIES])
 
 
 def loans(raw: DataFrame, customers: DataFrame, branches: DataFrame, load_ts=None) -> DataFrame:
     parents = {"customer_id": Parent(customers, "customer_id"), "branch_id": Parent(branches, "branch_id")}
     rows = keep_children(newest_loans(raw, load_ts), parents).withColumn("_at", F.col("silver_load_ts"))
-    return history(rows, "loan_id", "_at", LOAN_TRACKED, MICROS).drop("_at", "source_row")
+    return history(rows, "loan_id", "_at", LOAN_TRACKED, MICROS, hot_rows=None).drop("_at")  # one row per loan

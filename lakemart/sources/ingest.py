@@ -14,18 +14,35 @@ SCHEMA_NAME = "dbo"
 
 
 def discover_files(spark: SparkSession, folder: str, schema: str = SCHEMA_NAME) -> DataFrame:
-    """(SchemaName, TableName) of the parquet tables in a folder, in order. Lists the
-    files only; a table may be one file or a folder of parts."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        .load(folder).select("path")
-    )
-    inside = F.substring_index(F.col("path"), folder.rstrip("/") + "/", -1)
-    table = F.regexp_replace(F.substring_index(inside, "/", 1), r"\.parquet$", "")
-    return (
-        files.select(F.lit(schema).alias("SchemaName"), table.alias("TableName"))
-        .distinct().orderBy("SchemaName", "TableName")
-    )
+    """(SchemaName, TableName, Path) of the parquet tables in a folder, in order.
+
+    A table is an entry ``name.parquet`` (a file or a folder of parts) or a folder
+    ``name`` of parts; a folder of such entries is a schema of that name. Only entries
+    are listed, two levels deep, never the parts of a table.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def entries(place) -> list:
+        return [e for e in files.listStatus(place) if not e.getPath().getName().startswith((".", "_"))]
+
+    found = []
+    for entry in entries(path):
+        name, where = entry.getPath().getName(), entry.getPath().toString()
+        if name.endswith(".parquet"):
+            found.append((schema, name.removesuffix(".parquet"), where))
+        elif entry.isDirectory():
+            inside = entries(entry.getPath())
+            partitioned = any("=" in e.getPath().getName() for e in inside)
+            if partitioned or any(e.isFile() and e.getPath().getName().startswith("part-") for e in inside):
+                found.append((schema, name, where))
+            else:
+                found += [
+                    (name, e.getPath().getName().removesuffix(".parquet"), e.getPath().toString())
+                    for e in inside if e.isDirectory() or e.getPath().getName().endswith(".parquet")
+                ]
+    listed = spark.createDataFrame(found, "SchemaName string, TableName string, Path string")
+    return listed.orderBy("SchemaName", "TableName")
 
 
 def discover_database(spark: SparkSession, url: str, options: Mapping[str, str]) -> DataFrame:
@@ -65,15 +82,13 @@ def convert(df: DataFrame, types: Mapping[str, str | DataType]) -> DataFrame:
     return df.select(*columns)
 
 
-def copy_tables(tables: Mapping[str, DataFrame], raw: Layer, schema: str = SCHEMA_NAME, at_once: int = 4) -> dict[str, DataFrame]:
-    """Verbatim copy of each table as ``<schema>.<table>``: data and schema replaced."""
-    return run_together(
-        {name: lambda n=name, df=df: raw.overwrite(df, f"{schema}.{n}") for name, df in tables.items()}, at_once
-    )
+def copy_tables(tables: Mapping[str, DataFrame], raw: Layer, at_once: int = 4) -> dict[str, DataFrame]:
+    """Verbatim copy of each table ("<schema>.<table>"): data and schema replaced."""
+    return run_together({name: lambda n=name, df=df: raw.overwrite(df, n) for name, df in tables.items()}, at_once)
 
 
 def copy_folder(spark: SparkSession, folder: str, raw: Layer, at_once: int = 4) -> dict[str, DataFrame]:
-    """Discover and copy. Only table names reach the driver."""
-    names = [row["TableName"] for row in discover_files(spark, folder).collect()]
-    sources = {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}.parquet") for n in names}
-    return copy_tables(sources, raw, at_once=at_once)
+    """Discover and copy, each table under its own schema. Only names reach the driver."""
+    listed = discover_files(spark, folder).collect()
+    sources = {f"{r['SchemaName']}.{r['TableName']}": spark.read.parquet(r["Path"]) for r in listed}
+    return copy_tables(sources, raw, at_once)

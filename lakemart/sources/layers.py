@@ -9,18 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def stored_name(table: str) -> str:
+    return table.replace(".", "__")
+
+
 class Layer:
     """Tables of one layer. A table name with a schema part (``dbo.customers``) is one
-    name here; the catalog stores it as ``dbo_customers``."""
+    name here; the catalog stores it as ``dbo__customers``, so that ``a.b_c`` and
+    ``a_b.c`` stay apart."""
 
-    def __init__(self, spark: SparkSession, database: str, folder: str | None = None):
+    def __init__(self, spark: SparkSession, database: str, folder: str):
         self.spark = spark
         self.database = database
-        place = f" LOCATION '{folder}'" if folder else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
+        self.folder = folder.rstrip("/")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{folder}'")
 
     def name(self, table: str) -> str:
-        return f"`{self.database}`.`{table.replace('.', '_')}`"
+        return f"`{self.database}`.`{stored_name(table)}`"
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
@@ -31,6 +36,28 @@ class Layer:
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
+    def _marker(self, table: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{stored_name(table).lower()}/_stored")
+        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def mark_stored(self, table: str) -> None:
+        """Notes beside a table's files that they are all there."""
+        place, files = self._marker(table)
+        files.create(place, True).close()
+
+    def adopt(self, table: str) -> bool:
+        """Whether the table is all there, from this session or an earlier one. A session
+        without a lasting catalog registers the files it finds."""
+        place, files = self._marker(table)
+        if not files.exists(place):
+            return False
+        if not Layer.exists(self, table):
+            name = f"{self.database}.{stored_name(table).lower()}"
+            self.spark.catalog.createTable(name, path=place.getParent().toString(), source="parquet")
+            if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
+                self.spark.catalog.recoverPartitions(name)
+        return True
+
     def present(self, tables: Iterable[str]) -> dict[str, DataFrame]:
         """The listed tables that exist."""
         return {t: self.table(t) for t in tables if self.exists(t)}
@@ -81,6 +108,12 @@ class Layer:
         aligned.write.mode("overwrite").insertInto(self.name(table))
         return self.table(table)
 
+    def drop_days(self, table: str, day: str, days: Iterable) -> None:
+        """Removes the given partitions, where they exist."""
+        if self.exists(table):
+            for value in days:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{day}` = '{value}')")
+
     def _evolve(self, df: DataFrame, table: str) -> None:
         known = set(self.table(table).columns)
         new = [f"`{c}` {kind}" for c, kind in df.dtypes if c not in known]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from lakemart.plans.queries import DIRTY_AMOUNTS
+from lakemart.plans.queries import BLANK_KEYS, DIRTY_AMOUNTS
 from lakemart.sources.fixtures import TABLES, VIEWS
 
 LOAD = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -152,13 +152,15 @@ CTES["new_loans"] = f"""
     SELECT loan_id, trim(customer_id) AS customer_id, trim(branch_id) AS branch_id, upper(trim(status)) AS status,
            start_date, cast(interest_rate_apr AS decimal(10,4)) AS interest_rate_apr,
            cast(principal_amount AS decimal(18,2)) AS principal_amount, cast(tenure_months AS int) AS tenure_months,
-           source_row, 'bronze' AS record_source, {LOAD} AS silver_load_ts
+           'bronze' AS record_source, {LOAD} AS silver_load_ts
     FROM raw_loans
     QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY start_date DESC NULLS LAST, principal_amount DESC NULLS LAST,
-                               source_row DESC NULLS LAST) = 1
+                               trim(branch_id) DESC NULLS LAST, trim(customer_id) DESC NULLS LAST,
+                               cast(interest_rate_apr AS decimal(10,4)) DESC NULLS LAST, upper(trim(status)) DESC NULLS LAST,
+                               tenure_months DESC NULLS LAST) = 1
 """
 CTES["sv_loans"] = f"""
-    SELECT * EXCLUDE (source_row), {LOAD} AS effective_from, cast(NULL AS timestamp) AS effective_to, 1 AS is_current
+    SELECT *, {LOAD} AS effective_from, cast(NULL AS timestamp) AS effective_to, 1 AS is_current
     FROM new_loans
     WHERE customer_id IN (SELECT customer_id FROM sv_customers) AND branch_id IN (SELECT branch_id FROM sv_branches)
 """
@@ -283,6 +285,10 @@ def with_ctes(sql: str) -> str:
 PLAIN: dict[str, str] = {}
 
 PLAIN["q_clean_customers"] = "SELECT * REPLACE (cast(dob AS varchar) AS dob) FROM cl_customers"
+PLAIN["q_rename_known_keys"] = f"""
+    SELECT cust AS customer_id, event_type, event_id FROM ({BLANK_KEYS.format(**NAMES)}) WHERE trim(cust) <> ''
+"""
+PLAIN["q_recreate"] = "SELECT * FROM raw_customer_changes"
 PLAIN["q_clean_amounts"] = f"""
     SELECT o_orderkey, cast(TRY_CAST(replace(trim(amount), ',', '') AS decimal(18,2)) AS double) AS amount,
            cast(TRY_CAST(day AS date) AS varchar) AS day, TRY_CAST(seen_at AS timestamp) AS seen_at, TRY_CAST(pieces AS int) AS pieces
@@ -395,8 +401,8 @@ PLAIN["q_customer_daily"] = """
 """
 PLAIN["q_branch_daily_wide"] = """
     SELECT date_key, branch_key, coalesce(max(tn), 0) AS transaction_count, coalesce(max(ta), 0) AS transaction_amount,
-           coalesce(max(tf), 0) AS fraud_txn_count, coalesce(max(bb), 0) AS deposit_balance, coalesce(max(ln), 0) AS loan_count,
-           coalesce(max(lp), 0) AS loan_principal, coalesce(max(pa), 0) AS payment_amount
+           coalesce(max(tf), 0) AS fraud_txn_count, coalesce(max(bb), 0) AS total_balance, coalesce(max(ln), 0) AS loan_count,
+           coalesce(max(lp), 0) AS total_principal_amount, coalesce(max(pa), 0) AS total_payment_amount
     FROM (
         SELECT date_key, branch_key, count(*) AS tn, cast(sum(amount) AS double) AS ta,
                count(*) FILTER (WHERE is_fraud_label = 1) AS tf, NULL AS bb, NULL AS ln, NULL AS lp, NULL AS pa
@@ -442,7 +448,16 @@ CHECKS = {
 PLAIN["q_dq_results"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{rule}' AS rule_name, n AS row_count, 'batch-1' AS batch_id, {LOAD} AS execution_ts FROM ({sql})"
     for (t, rule), sql in CHECKS.items())
-PLAIN["q_balances_append"] = "SELECT * REPLACE (cast(snapshot_date AS varchar) AS snapshot_date) FROM raw_balances_daily"
+PLAIN["q_balances_append"] = """
+    SELECT * REPLACE (cast(snapshot_date AS varchar) AS snapshot_date,
+                      CASE WHEN day(snapshot_date) < 10 THEN 0 ELSE end_of_day_balance END AS end_of_day_balance)
+    FROM raw_balances_daily
+"""
+PLAIN["q_daily_load"] = PLAIN["q_fact_daily_balances"]
+PLAIN["q_dq_history"] = f"""
+    SELECT * FROM ({PLAIN["q_dq_results"]})
+    UNION ALL SELECT * REPLACE ('batch-2' AS batch_id) FROM ({PLAIN["q_dq_results"]})
+"""
 PLAIN["q_balances_evolve"] = """
     SELECT account_id, customer_id, branch_id, cast(snapshot_date AS varchar) AS snapshot_date, end_of_day_balance,
            cast(NULL AS varchar) AS currency FROM raw_balances_daily
@@ -465,6 +480,11 @@ RANKED = """
 """
 PLAIN["q_rank_running"] = RANKED.format(part="")
 PLAIN["q_rank_running_within"] = RANKED.format(part="PARTITION BY c_mktsegment")
+PLAIN["q_rank_running_double"] = """
+    SELECT o_custkey, spent, dense_rank() OVER w AS rank, sum(spent) OVER w AS running
+    FROM (SELECT o_custkey, cast(spent * 100 AS double) / 8 AS spent FROM spending)
+    WINDOW w AS (ORDER BY spent DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
 PLAIN["q_top_with_ties"] = """
     SELECT c_mktsegment, o_custkey, cast(spent AS double) AS spent FROM spending
     QUALIFY rank() OVER (PARTITION BY c_mktsegment ORDER BY spent DESC) <= 10
@@ -815,6 +835,21 @@ PLAIN["m_time_day"] = f"""
         WINDOW mo AS (PARTITION BY m.idx ORDER BY m."Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                y AS (PARTITION BY m.yr ORDER BY m."Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 """
+PLAIN["m_time_filtered"] = f"SELECT * FROM ({PLAIN['m_time_month']}) WHERE Year_Month LIKE '1998%'"
+PLAIN["m_deposit_filtered"] = f"SELECT * FROM ({PLAIN['m_deposit']}) WHERE Year_Month LIKE '2024%'"
+CTES["customer_buckets"] = """
+    SELECT customer_key, CASE WHEN coalesce(x, 0) < 7500000 THEN 'Small' WHEN x < 9900000 THEN 'Medium'
+                              WHEN x < 15000000 THEN 'Large' ELSE 'High Value' END AS Loan_Bucket
+    FROM d_customer LEFT JOIN (SELECT customer_key, sum(principal_amount) AS x FROM f_l GROUP BY 1) USING (customer_key)
+"""
+PLAIN["m_bucket"] = f"""
+    SELECT Loan_Bucket, cust AS customers_per_bucket, cast(bor AS bigint) AS distinct_borrowers_by_bucket,
+           round({div0("exposure", "tot")}, 6) AS exposure_pct
+    FROM (SELECT DISTINCT Loan_Bucket FROM customer_buckets)
+    LEFT JOIN (SELECT Loan_Bucket, {dc("customer_key")} AS bor, sum(principal_amount) AS exposure
+               FROM f_l JOIN customer_buckets USING (customer_key) GROUP BY Loan_Bucket) USING (Loan_Bucket),
+         (SELECT sum(principal_amount) AS tot, {dc("customer_key")} AS cust FROM f_l)
+"""
 REGION_MONTH = {
     "total_transactions": "n", "total_transaction_amount": "t", "transaction_amount_mtd": "t",
     "transaction_amount_ytd": "t_ytd", "previous_month_transaction_amount": "t_pm",

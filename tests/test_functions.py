@@ -51,7 +51,7 @@ def test_distinct_counts_null_as_one_value(frame):
 
 def test_fingerprint_forms(frame):
     df = frame([(1, None, "b"), (2, "NULL", "b"), (3, "x||y", "z"), (4, "x", "y||z")], "i int, p string, q string")
-    text = dict(values(df.select("i", fingerprint(["p", "q"]))))
+    text = dict(values(df.select("i", fingerprint(["p", "q"], "text"))))
     exact = dict(values(df.select("i", fingerprint(["p", "q"], "json"))))
     assert text[1] == text[2] and text[3] == text[4]
     assert len(set(exact.values())) == 4

@@ -40,8 +40,8 @@ def test_value_that_returns_is_a_new_version(frame):
 
 def test_null_word_is_told_apart_only_in_json_form(frame):
     df = frame([("k", hours(0), None), ("k", hours(1), "NULL")], "k string, t timestamp, v string")
-    assert history(df, "k", "t", ["v"]).count() == 1
-    assert history(df, "k", "t", ["v"], form="json").count() == 2
+    assert history(df, "k", "t", ["v"], form="text").count() == 1
+    assert history(df, "k", "t", ["v"], form="json").count() == history(df, "k", "t", ["v"]).count() == 2
 
 
 def test_equal_times_do_not_depend_on_partitions(frame):
@@ -82,3 +82,21 @@ def test_hot_keys_are_windowed_by_slice(frame):
     plan = plan_of(history(df, "k", "t", ["v"], SECONDS, ties=["i"], hot_rows=50))
     assert "hashpartitioning(k" in plan and "_slice" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_untimed_rows_of_a_hot_key_are_cut_too(frame):
+    rng = random.Random(12)
+    rows = [("", None, f"{rng.choice('abcdefgh')}{rng.randint(0, 40)}") for _ in range(400)] + [("", None, None)] * 3 + [("k", datetime(2024, 1, 1), "x")]
+    df = frame(rows, "k string, t timestamp, v string")
+    plain = history(df, "k", "t", ["v"], MICROS)
+    cut = history(df, "k", "t", ["v"], MICROS, hot_rows=50)
+    assert values(cut) == values(plain)
+    assert "begun" in plan_of(cut)
+
+
+def test_nothing_is_counted_for_unique_keys(frame, monkeypatch):
+    import lakemart.operators.history as module
+
+    monkeypatch.setattr(module, "hot_keys", lambda *a: pytest.fail("counted"))
+    df = frame([("a", datetime(2024, 1, 1), "x")], "k string, t timestamp, v string")
+    assert history(df, "k", "t", ["v"], MICROS, hot_rows=None).count() == 1

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 
 from conftest import values
+from lakemart.plans.medallion import BuiltLayer
 from lakemart.session import shared_folder
 from lakemart.sources.ingest import copy_folder, discover_files
 from lakemart.sources.layers import Layer
@@ -17,7 +18,7 @@ def layer(spark, tmp_path):
 def test_overwrite_replaces_schema_and_drop(layer, frame):
     layer.overwrite(frame([(1,)], "a int"), "dbo.x")
     again = layer.overwrite(frame([("s", 2)], "b string, c int"), "dbo.x")
-    assert again.columns == ["b", "c"] and layer.tables() == ["dbo_x"]
+    assert again.columns == ["b", "c"] and layer.tables() == ["dbo__x"]
     assert values(layer.recreate(frame([(1,), (2,)], "a int"), "dbo.x")) == [(2,)]
     assert list(layer.present(["dbo.x", "missing"])) == ["dbo.x"]
     layer.drop("dbo.x")
@@ -43,9 +44,42 @@ def test_discover_and_copy(spark, layer, frame, tmp_path):
     source = tmp_path / "src"
     frame([(1,), (2,)], "a int").write.parquet(str(source / "beta.parquet"))
     frame([("x",)], "b string").write.parquet(str(source / "alpha.parquet"))
-    assert values(discover_files(spark, str(source))) == [("dbo", "alpha"), ("dbo", "beta")]
+    frame([(7,)], "c int").write.parquet(str(source / "plain"))
+    frame([(8, 1)], "d int, day int").write.partitionBy("day").parquet(str(source / "daily"))
+    frame([(1,)], "a int").write.parquet(str(source / "sales" / "b_c.parquet"))
+    frame([(2,)], "a int").write.parquet(str(source / "sales_b" / "c"))
+    listed = [("dbo", "alpha"), ("dbo", "beta"), ("dbo", "daily"), ("dbo", "plain"), ("sales", "b_c"), ("sales_b", "c")]
+    assert values(discover_files(spark, str(source)), "SchemaName", "TableName") == listed
     copied = copy_folder(spark, str(source), layer)
-    assert values(copied["beta"]) == [(1,), (2,)] and layer.tables() == ["dbo_alpha", "dbo_beta"]
+    assert values(copied["dbo.beta"]) == [(1,), (2,)] and values(copied["dbo.plain"]) == [(7,)]
+    assert values(copied["dbo.daily"]) == [(8, 1)]
+    assert values(copied["sales.b_c"]) == [(1,)] and values(copied["sales_b.c"]) == [(2,)]
+    assert layer.tables() == sorted(f"{s}__{t}" for s, t in listed)
+
+
+def test_stored_tables_are_read_and_not_built_again(spark, frame, tmp_path):
+    built = []
+
+    def recipe(rows, schema):
+        def build():
+            built.append(schema)
+            return frame(rows, schema)
+        return build
+
+    recipes = {"a": recipe([(1,)], "v int"), "fact_loans": recipe([(20240105, 2), (20240201, 3)], "date_key int, w int")}
+    database, folder = f"t_{uuid.uuid4().hex[:8]}", str(tmp_path / "lake")
+    first = BuiltLayer(spark, database, folder, recipes)
+    wanted = {t: values(first.table(t)) for t in recipes}
+    assert len(built) == 2
+    again = BuiltLayer(spark, database, folder, recipes)
+    assert {t: values(again.table(t)) for t in recipes} == wanted and len(built) == 2
+    # a session without a lasting catalog finds the files
+    elsewhere = BuiltLayer(spark, database + "x", folder, recipes)
+    assert values(elsewhere.table("a")) == wanted["a"]
+    assert values(elsewhere.table("fact_loans").select("date_key", "w")) == [(20240105, 2), (20240201, 3)] and len(built) == 2
+    again.refresh("a")
+    again.table("a")
+    assert len(built) == 3
 
 
 class FakeSession:

@@ -1,5 +1,6 @@
+import inspect
 import random
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,12 +9,13 @@ from pyspark.sql import functions as F
 from conftest import plan_of, values
 from lakemart.operators import marts, quality
 from lakemart.operators.calendar import (
-    business_dates, calendar, date_bounds, is_business_date, observed_dates, require_bounds,
+    business_dates, calendar, date_bounds, is_business_date, observed_dates,
 )
 from lakemart.operators.keys import with_surrogate_key
 from lakemart.operators.ranking import rank_by_value, top
 from lakemart.operators.schedule import payment_schedule
 from lakemart.operators.star import Lookup, attach_keys
+from lakemart.plans.medallion import open_lake
 from lakemart.sources.schemas import GOLD, conform, gold_schema, undeclared
 
 
@@ -52,8 +54,8 @@ def test_date_columns_by_name_and_type(frame):
     assert values(date_bounds({"a": df, "b": df.select("name")})) == [("a", "open_date", date(2024, 1, 1), date(2024, 1, 1))]
     with pytest.raises(ValueError):
         date_bounds({"b": df.select("name")})
-    with pytest.raises(ValueError):
-        require_bounds(date_bounds({"a": df.where("false")}))
+    with pytest.raises(Exception, match="no bounds"):
+        calendar(date_bounds({"a": df.where("false")})).count()
 
 
 def test_observed_dates(frame):
@@ -145,3 +147,14 @@ def test_group_limits_run_before_the_shuffle(frame):
     df = frame([(1, 2)], "k int, t int")
     for plan in (plan_of(latest(df, "k", ["t"])), plan_of(top(df, "t", 3, ["k"]))):
         assert "WindowGroupLimit" in plan
+
+
+def test_payments_are_judged_by_todays_date(frame):
+    today = date.today()
+    loans = frame([("a", "c", "b", today - timedelta(days=1), Decimal("10.00"), 2)],
+                  "loan_id string, customer_id string, branch_id string, start_date date, principal_amount decimal(18,2), tenure_months int")
+    assert [r["status"] for r in payment_schedule(loans).orderBy("installment_no").collect()] == ["PAID", "PENDING"]
+    unnamed = loans.withColumn("loan_id", F.lit(None).cast("string"))
+    assert {r["payment_id"] for r in payment_schedule(unnamed).collect()} == {None}
+    defaults = inspect.signature(open_lake).parameters
+    assert all(defaults[n].default is None for n in ("load_ts", "as_of", "batch"))
