@@ -115,6 +115,115 @@ with u as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from best where place = 1
 """
 
+
+
+def _op1_sql() -> str:
+    lists = quality.COMMON_WORDS
+    quoted = {name: "[" + ", ".join(f"'{w}'" for w in some) + "]" for name, some in lists.items()}
+    most = ", ".join(f"{{'n': len(list_filter(clean, lambda w: list_contains({some}, w))), 'o': {-i}, 'l': '{name}'}}" for i, (name, some) in enumerate(quoted.items()))
+    own = " ".join(
+        f"when '{name}' then list_transform({some}, lambda c: len(list_filter(clean, lambda w: w = c)))" for name, some in quoted.items()
+    )
+
+    def distances(before: str, after: str, rows: str) -> str:
+        """Distances from the sums over the rows, and who is usual by them."""
+        term = "case when {0} > 0 then {0} * log2({0} / ((p + q) / 2)) else 0 end"
+        return f"""
+{before} as (select spoken, kind, k, sum(x) as s from h where not base_failed and {rows} group by all),
+{before}_n as (select spoken, kind, k, s / sum(s) over (partition by spoken, kind) as q from {before}),
+{after} as (
+  select doc_id, max(case when kind = 'c' and n_chars < {quality.MIN_CHARS} or kind = 'w' and n_words < {quality.MIN_WORDS} then 0 else d end
+                     - case kind when 'c' then {quality.MAX_CLASS_DISTANCE} else {quality.MAX_WORD_DISTANCE} end) <= 0 as usual
+  from (
+    select doc_id, kind, n_chars, n_words, sqrt(greatest(sum({term.format("p")} + {term.format("q")}) / 2, 0)) as d
+    from (select doc_id, spoken, kind, k, n_chars, n_words, x / sum(x) over (partition by doc_id, kind) as p from h)
+    join {before}_n using (spoken, kind, k) group by all
+  ) group by doc_id
+)"""
+
+    return rf"""
+with w as (
+  select doc_id, lang, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), windows as (
+  select doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as win
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from w)
+), covered as (
+  select doc_id, count(distinct place) as n_repeat_words
+  from (select doc_id, unnest([i, i + 1, i + 2]) as place from windows qualify count(*) over (partition by doc_id, win) > 1)
+  group by doc_id
+), lines as (
+  select doc_id, count(*) - count(distinct line) as n_dup_lines
+  from (select doc_id, unnest(string_split(text, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]')
+  group by doc_id
+), counted as (
+  select doc_id, lang, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words, length(text) as n_chars,
+    length(regexp_replace(text, '[^A-Z]+', '', 'g')) as upper, length(regexp_replace(text, '[^0-9]+', '', 'g')) as digits,
+    length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')) as points, length(regexp_replace(text, '[\x00-\x7F]+', '', 'g')) as wide,
+    list_transform(words, lambda x: lower(rtrim(x, '.,;:!?'))) as clean
+  from w left join covered using (doc_id) left join lines using (doc_id)
+), spoken as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    case when lang in ({", ".join(f"'{name}'" for name in lists)}) then lang else list_max([{most}]).l end as spoken
+  from counted
+), histograms as (
+  select *, [upper, digits, points, n_symbols, wide, n_chars - word_chars, word_chars - upper - digits - points - n_symbols - wide] as classes,
+    case spoken {own} end as common
+  from spoken
+), h as (
+  select doc_id, spoken, base_failed, n_chars, n_words, 'c' as kind, unnest(classes) as x, unnest(range(len(classes))) as k from histograms
+  union all
+  select doc_id, spoken, base_failed, n_chars, n_words, 'w', unnest(all_common), unnest(range(len(all_common)))
+  from (select *, list_append(common, n_words - list_sum(common)) as all_common from histograms)
+),{distances("first", "first_usual", "true")},{distances("second", "second_usual", "doc_id in (select doc_id from first_usual where usual)")}
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
+  n_repeat_words::bigint as n_repeat_words, base_failed, not base_failed and usual as kept
+from spoken join second_usual using (doc_id)
+"""
+
+
+OP1 = _op1_sql()
+
+
+def _op8_sql() -> str:
+    plain = {"assign": secret_scan.ASSIGN, "access": secret_scan.ACCESS, "hex": "[0-9a-f]{32,}", "bare": "[A-Za-z0-9+/_=-]{20,}"}
+    found = " union all ".join(
+        f"""select doc_id, owner, '{kind}' as kind, {i} as ord, regexp_extract_all(text, '{p}') as ms,
+  regexp_extract_all(text, '{p}', {secret_scan.KINDS[kind][1]}) as vs, string_split_regex(text, '{p}') as gs from t"""
+        for i, (kind, p) in enumerate((k, p.replace("'", "''")) for k, p in plain.items())
+    )
+    return rf"""
+with t as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents),
+found as ({found}),
+each as (
+  select doc_id, owner, kind, ord, i, length(ms[i]) as n, vs[i] as v, sum(length(gs[i]) + length(ms[i])) over (partition by doc_id, kind order by i) as e
+  from (select *, unnest(range(1, len(ms) + 1)) as i from found)
+), passed as (
+  select doc_id, owner, kind, ord, e - n as s, e, v from each
+  where case kind when 'assign' then length(v) >= {secret_scan.LEAST_VALUE}
+    when 'bare' then regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') and len(list_distinct(string_split(v, ''))) >= {secret_scan.LEAST_CHARACTERS}
+    else true end
+), owners as (select v, count(distinct owner) as owners from passed group by v),
+spans as (
+  select p.*, owners from passed p join owners using (v)
+  where kind <> 'bare' or owners = 1 and not exists (
+    select 1 from passed b where b.kind <> 'bare' and b.doc_id = p.doc_id and b.s < p.e and b.e > p.s)
+), per_doc as (
+  select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, ord) filter (kind <> 'bare') as base,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, ord) as spans,
+    count(*) filter (owners < {secret_scan.EXAMPLE_OWNERS}) as n_live, count(*) filter (owners >= {secret_scan.EXAMPLE_OWNERS}) as n_examples
+  from spans group by doc_id
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_examples, 0) as n_examples
+from documents left join per_doc using (doc_id)
+"""
+
+
+OP8 = _op8_sql()
+
 OP9 = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -152,4 +261,4 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from t window g as (partition by text_sha256)
 """
 
-ORACLES: dict[str, str] = {"op3_url_trie": OP3, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
+ORACLES: dict[str, str] = {"op1_divergence": OP1, "op3_url_trie": OP3, "op8_ownership": OP8, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
