@@ -11,20 +11,25 @@ what cannot reach the similarity is discarded by bounds that follow from the siz
 3. The other rows are multiplied over all columns. Those with fewer than ``need(n)`` shared
    columns end here. Two linked rows meet in the ``n - need(n) + 1`` rarest columns of
    each, so only these make candidates.
-4. Candidates are taken in blocks of one column row against all rows of its columns: each
-   column sends its rows to one pivot, overlaps are counted exactly, and rows linked
-   with the same pivot need no product with each other. When few pairs of
-   different groups are left, all of them are taken.
+4. Rows that meet in such a column, directly or through others, are a cluster: a block of the
+   matrix that one task multiplies. It walks along links and multiplies each row it reaches
+   with the rows not reached so far, so that a group of near copies costs little more
+   than one product of a row with all.
+5. A cluster with too many entries for a task is taken by pivots: each column sends its rows to
+   one row, overlaps are counted exactly, and rows linked with the same pivot need no
+   product with each other. After some rounds, all pairs that are left are taken.
 
 No candidate is dropped but by a bound, so every link of two groups is found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, store, uncased, whole
+from .common import WORD, pick, ship, store, uncased, whole
 
 #: Part of the hash range that the first block of columns covers.
 FIRST_BLOCK = 0.35
@@ -32,10 +37,12 @@ FIRST_BLOCK = 0.35
 SUPPORT = 0.001
 #: A list of rows up to this size (8 bytes each) is broadcast; a longer one is shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Entries of the matrix in one block (8 bytes each); larger clusters are taken by pivots.
+BLOCK_ENTRIES = 8_000_000
 #: Rows of one pivot in a block of the product.
 PIVOT_ROWS = 1_000
-#: Rounds of pivots before all pairs that are left are taken.
-ROUNDS = 4
+#: Rounds of pivots, at most, before all pairs that are left are taken.
+ROUNDS = 12
 
 
 def words_of(text: str) -> Column:
@@ -98,8 +105,8 @@ def _components(source: DataFrame, width: int, percent: int) -> DataFrame:
         "classes",
     )
     large = classes.where(F.col("copies") > SUPPORT * sized.count()).select("sequence", "node")  # 1 / SUPPORT rows at most
-    links = _links(_survivors(source, classes, large, width, percent, limit), percent)
-    return _labelled(sized, classes, large, components(links))
+    ranked = _ranked(_survivors(source, classes, large, width, percent, limit), percent)
+    return _labelled(sized, classes, large, _groups(ranked, percent))
 
 
 def _survivors(source: DataFrame, classes: DataFrame, large: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
@@ -122,24 +129,107 @@ def _survivors(source: DataFrame, classes: DataFrame, large: DataFrame, width: i
     return store(again.select(F.col("row").alias("node"), F.size("grams").alias("n"), "grams"), "survivors")
 
 
-def _links(rows: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: enough links between rows for every component to hold together."""
+def _ranked(rows: DataFrame, percent: int) -> DataFrame:
+    """``node, n, shared, prefix``: the shingles that other rows have too, the rarest first, and
+    how many of them make candidates. Rows with too few of them are ruled out."""
     entries = rows.select("node", "n", F.explode("grams").alias("gram"))
     common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rarest = F.sort_array(F.collect_list(F.struct("df", "gram")))  # a document's own shingles
     need = _need(F.col("n"), percent)
-    index = store(
-        entries.join(common, "gram")
-        .groupBy("node", "n").agg(rarest.alias("shared"))
-        .where(F.size("shared") >= need)
+    return store(
+        entries.join(common, "gram").groupBy("node", "n").agg(rarest.alias("ranked"))
+        .where(F.size("ranked") >= need)
         # shingles of no other row are rarer still, and take their part of the prefix
-        .select("node", "n", F.explode(F.slice("shared", F.lit(1), (F.size("shared") - need + 1).cast("int"))).alias("entry"))
-        .select("node", "n", F.col("entry.gram").alias("gram")),
-        "index",
+        .select("node", "n", F.transform("ranked", lambda r: r["gram"]).alias("shared"), (F.size("ranked") - need + 1).cast("int").alias("prefix")),
+        "ranked",
     )
-    grams = rows.select("node", "n", "grams")
-    labels = store(index.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    size, found = index.count(), []
+
+
+def _groups(ranked: DataFrame, percent: int) -> DataFrame:
+    """``node, label``: rows that links hold together have one label.
+
+    Rows that meet in a column of their prefixes are one cluster; linked rows are in one
+    cluster. A cluster is one block of the product, unless it is too large for a task.
+    """
+    ship(ranked.sparkSession)
+    index = ranked.select("node", "n", F.explode(F.slice("shared", F.lit(1), F.col("prefix"))).alias("gram"))
+    firsts = index.groupBy("gram").agg(F.min("node").alias("b"))
+    stars = index.join(firsts, "gram").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    clusters = components(store(stars, "stars")).toDF("node", "cluster")
+    members = store(ranked.join(clusters, "node"), "members")
+    weight = members.groupBy("cluster").agg(F.sum(F.size("shared")).alias("entries"))
+    over = store(weight.where(F.col("entries") > BLOCK_ENTRIES).select("cluster"), "over")  # all entries / BLOCK_ENTRIES rows at most
+    small = members.join(F.broadcast(over), "cluster", "left_anti")
+
+    def product(frame: pd.DataFrame) -> pd.DataFrame:
+        labels = block_groups(frame["n"].to_numpy(np.int64), frame["shared"].tolist(), percent)
+        nodes = frame["node"].to_numpy(np.int64)
+        return pd.DataFrame({"node": nodes, "label": nodes[labels]})
+
+    groups = small.groupBy("cluster").applyInPandas(product, "node long, label long")
+    if over.isEmpty():
+        return store(groups, "groups")
+    large = members.join(F.broadcast(over), "cluster", "left_semi")
+    pieces = index.join(large.select("node"), "node", "left_semi")
+    links = _links(store(pieces, "index"), large.select("node", "n", F.col("shared").alias("grams")), percent)
+    return store(groups.unionByName(components(links)), "groups")
+
+
+def block_groups(n: np.ndarray, columns: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each row of a block, the number of a row that stands for its group.
+
+    Walks along links: a row is multiplied with the rows that no link has reached yet, and
+    those it links with are next. Only sizes that allow the similarity are multiplied,
+    and in a group of near copies the first few rows reach nearly all others.
+    """
+    order = np.argsort(n, kind="stable")
+    n, columns = n[order], [columns[i] for i in order]
+    lengths = np.array([len(c) for c in columns])
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    entries = np.unique(np.concatenate(columns), return_inverse=True)[1]
+    mark = np.zeros(entries.max() + 1, dtype=np.int32)
+    label = np.full(len(n), -1)
+    # what is not reached, by size: rows, their sizes, where their entries start, entries
+    free, free_n, free_starts, free_entries = np.arange(len(n)), n, starts[:-1], entries
+    reached = 0
+    for seed in range(len(n)):
+        if label[seed] >= 0:
+            continue
+        label[seed] = seed
+        reached += 1
+        queue = [seed]
+        while queue:
+            row = queue.pop()
+            low, high = np.searchsorted(free_n, -(-n[row] * percent // 100)), np.searchsorted(free_n, n[row] * 100 // percent, side="right")
+            if low < high:
+                begin = free_starts[low]
+                end = free_starts[high] if high < len(free) else len(free_entries)
+                own = entries[starts[row] : starts[row + 1]]
+                mark[own] = 1
+                overlap = np.add.reduceat(mark[free_entries[begin:end]], free_starts[low:high] - begin)
+                mark[own] = 0
+                linked = 100 * overlap >= percent * (n[row] + free_n[low:high] - overlap)
+                found = free[low:high][linked]
+                found = found[label[found] < 0]
+                label[found] = seed
+                reached += len(found)
+                queue += found.tolist()
+            if 2 * (len(n) - reached) < len(free):
+                keep = label[free] < 0
+                free_entries = free_entries[np.repeat(keep, lengths[free])]
+                free = free[keep]
+                free_n = n[free]
+                free_starts = np.cumsum(lengths[free]) - lengths[free]
+    out = np.empty(len(n), dtype=np.int64)
+    out[order] = order[label]
+    return out
+
+
+def _links(index: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: enough links between the rows of large clusters for every group to hold together."""
+    labels = store(grams.select("node").withColumn("label", F.col("node")), "labels")
+    found, left = [], float("inf")
+    nodes = labels.count()
     for turn in range(ROUNDS):
         current = index.join(labels, "node")
         pivot = F.min(F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("order"), "node", "n", "label"))
@@ -151,7 +241,8 @@ def _links(rows: DataFrame, percent: int) -> DataFrame:
         )
         found.append(store(_linked(pairs, grams, percent), f"links-{turn}"))
         labels = store(_joined(labels, found[-1]), "labels")
-        if _pairs_left(index.join(labels, "node")) <= size:
+        before, left = left, _pairs_left(index.join(labels, "node"))
+        if left <= nodes or left > 0.9 * before:
             break
     found.append(store(_linked(_all_left(index.join(labels, "node"), percent), grams, percent), "links-last"))
     links = found[0]

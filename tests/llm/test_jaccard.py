@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lakemart.llm import jaccard
@@ -46,9 +47,11 @@ def edited(rng, base, changes):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_near_copies_passages_and_copies(stored, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "ROUNDS", max(1, rounds))
+@pytest.mark.parametrize("entries,rounds", [(10**9, 1), (0, 1), (0, 12), (5000, 12)])
+def test_near_copies_passages_and_copies(stored, monkeypatch, entries, rounds):
+    """In blocks, by pivots, and some clusters each way."""
+    monkeypatch.setattr(jaccard, "BLOCK_ENTRIES", entries)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
     rng = random.Random(11)
     base, passage = words(rng, 120), " ".join(words(rng, 60))
     texts = [" ".join(base)] * 40 + [edited(rng, base, rng.randint(1, 9)) for _ in range(80)]
@@ -60,6 +63,27 @@ def test_near_copies_passages_and_copies(stored, monkeypatch, rounds):
     check(stored(rows, 4), rows)
 
 
+def test_blocks_against_all_pairs():
+    rng = np.random.default_rng(5)
+    for _ in range(80):
+        base = [set(rng.integers(0, 60, size=rng.integers(1, 30)).tolist()) for _ in range(6)]
+        sets = [set(b) for b in base]
+        for b in base:
+            for _ in range(rng.integers(0, 6)):
+                sets.append({x if rng.random() < 0.93 else int(rng.integers(0, 60)) for x in b})
+        extra = rng.integers(0, 3, size=len(sets))  # shingles of no other row
+        n = np.array([len(s) for s in sets]) + extra
+        got = jaccard.block_groups(n, [np.array(sorted(s)) for s in sets], 75)
+        want = list(range(len(sets)))
+        for _ in sets:
+            for i in range(len(sets)):
+                for j in range(len(sets)):
+                    both = len(sets[i] & sets[j])
+                    if 100 * both >= 75 * (n[i] + n[j] - both):
+                        want[i] = want[j] = min(want[i], want[j])
+        assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(sets)) for j in range(len(sets)))
+
+
 def test_odd_rows(stored, documents):
     rows = [
         (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "a b c d"), (8, "a  b\nc d"), (9, "a b c d e"),
