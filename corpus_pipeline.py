@@ -6,7 +6,6 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakemart.llm import dedup, jaccard, packing, secret_scan, toxicity
 from lakemart.llm.queries import tokenizer, toxicity_classifier
@@ -15,8 +14,7 @@ from lakemart.session import shared_folder
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Trains on the stage's own documents and drops those it rejects."""
-    scored = toxicity.score(docs, toxicity_classifier(spark, docs, sf_dir), name="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    return toxicity.drop_toxic(docs, toxicity_classifier(spark, docs, sf_dir))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +27,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Owners' credentials are cut out of the texts; widely copied examples stay."""
-    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return secret_scan.redact(docs, length_col="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,9 +133,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     )
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mark: str = "[SECRET]", length_col: str | None = None) -> DataFrame:
     """``docs`` with ``mark`` in place of every live span (those that overlap become one);
-    widely copied examples stay. Null texts stay null. All rows and columns are kept."""
+    widely copied examples stay. Null texts stay null. All rows and columns are kept;
+    ``length_col``, if given, gets the new text's length where a text is cut."""
     columns = docs.columns
     copy = store(docs.toDF(*(f"c{i}" for i in range(len(columns)))).withColumn("row", F.monotonically_increasing_id()), "documents")
     text, owner = f"c{columns.index(text_col)}", f"c{columns.index(owner_col)}"
@@ -157,4 +158,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         lambda k: F.col(text).substr((k["begin"] + 1).cast("int"), (k["end"] - k["begin"]).cast("int")),
     )
     clean = F.when(F.col("cuts").isNull(), F.col(text)).otherwise(F.array_join(kept, mark))
-    return marked.withColumn(text, clean).drop("row", "cuts").toDF(*columns)
+    made = marked.withColumn(text, clean)
+    if length_col is not None:
+        length = f"c{columns.index(length_col)}"
+        new = F.length(text).cast(copy.schema[length].dataType)
+        made = made.withColumn(length, F.when(F.col("cuts").isNull(), F.col(length)).otherwise(new))
+    return made.drop("row", "cuts").toDF(*columns)

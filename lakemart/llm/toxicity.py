@@ -177,6 +177,17 @@ def score(docs: DataFrame, classifier: Classifier, text_col: str = "text", name:
     """``docs`` with ``name``, how likely each whole text is toxic (null: as an empty text,
     which has the score of no known word). The classifier knows at most ``VOCABULARY``
     words and is broadcast. Empty tables, repeated rows and extra columns pass through."""
+    return _scored(docs, classifier, text_col).toDF(*docs.columns, name)
+
+
+def drop_toxic(docs: DataFrame, classifier: Classifier, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows whose score reaches the threshold, all columns kept, whatever
+    their names."""
+    kept = _scored(docs, classifier, text_col).where(F.col("score") < threshold)
+    return kept.drop("score").toDF(*docs.columns)
+
+
+def _scored(docs: DataFrame, classifier: Classifier, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(classifier)
@@ -187,5 +198,4 @@ def score(docs: DataFrame, classifier: Classifier, text_col: str = "text", name:
 
     columns = docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(columns))))
-    text = F.coalesce(F.col(f"c{columns.index(text_col)}"), F.lit(""))
-    return plain.withColumn("score", scored(text)).toDF(*columns, name)
+    return plain.withColumn("score", scored(F.coalesce(F.col(f"c{columns.index(text_col)}"), F.lit(""))))

@@ -89,7 +89,7 @@ def test_stages_and_run(spark, tmp_path):
         for *_, v in base_spans(t or "") + bare_spans(t or ""):
             owners.setdefault(v, set()).add(owner)
     clean = [(i, t if t is None else cut(t, owners), lang, owner) for i, t, lang, owner, _ in before]
-    assert [r[:4] for r in after] == clean and all(r[4] == (r[1] if r[1] is None else len(r[1])) for r in after)
+    assert [r[:4] for r in after] == clean and all(r[4] == len(r[1] or "") for r in after)
     assert sum("[SECRET]" in (r[1] or "") for r in after) == 2
 
     before, _ = rows_of[4]

@@ -66,6 +66,8 @@ def test_redaction_leaves_examples(stored, documents):
     assert got.columns == stored(rows).columns
     assert all(texts[i] == rows[i][1] for i in range(4)) and texts[10] is None and texts[11] == "plain"
     assert texts[9] == "a [SECRET] b [SECRET] z"
+    sized = secret_scan.redact(stored(rows), length_col="n_chars").collect()
+    assert all(r.n_chars == len(r.text or "") for r in sized)
     assert secret_scan.report(documents([])).count() == 0
     assert secret_scan.redact(documents([])).count() == 0
 

@@ -60,6 +60,9 @@ def test_odd_tables(spark, stored, documents):
     got = toxicity.score(stored(rows).withColumn("c0", F.lit(1)), model, name="p")
     assert got.columns[-1] == "p" and got.count() == 6
     assert got.where("p between 0 and 1").count() == 6
+    clashing = stored(rows).withColumns({"score": F.lit(2.0), "p": F.lit("x")})
+    assert toxicity.drop_toxic(clashing, model).dtypes == clashing.dtypes
+    assert toxicity.drop_toxic(clashing, model).count() == 6
     assert toxicity.score(documents([]), model).count() == 0
     assert toxicity.train(documents([]), no_labels).words == []
 
