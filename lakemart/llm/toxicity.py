@@ -107,6 +107,22 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float, width: int, steps: i
     return w, b
 
 
+def level(sums: np.ndarray, prior: float) -> float:
+    """The bias that gives texts with these sums of weights the mean score ``prior``, by bisection.
+
+    The steps that go the other way raise the bias of ``fit``, the more so the fewer positives
+    there are. With this one, no more than ``prior / t`` of the unlabelled texts score ``t``.
+    """
+    low, high = -30.0 - float(sums.max()), 30.0 - float(sums.min())
+    for _ in range(60):
+        middle = (low + high) / 2
+        if (1 / (1 + np.exp(-np.clip(sums + middle, -30, 30)))).mean() < prior:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
 def _drawn(key: Column, share: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, F.lit("toxicity")), 11) / float(2**53) < share
 
@@ -116,7 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     ``docs`` are the training documents. The class prior is the share of 1 among the
     labels of those documents; labels that are null, or of other documents, do not count. About ``positives`` and
-    ``unlabelled`` texts are drawn; without a positive label, every score is 0.
+    ``unlabelled`` texts are drawn; without a positive label, every score is 0. The unlabelled
+    texts' mean score is the prior.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -169,8 +186,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     positive, free = sparse(1), sparse(0)
     if len(positive.starts) < 2 or len(free.starts) < 2:
         return Classifier([], np.zeros(0), -30.0)
-    weights, bias = fit(positive, free, prior, len(vocabulary))
-    return Classifier(vocabulary, weights, bias)
+    weights, _ = fit(positive, free, prior, len(vocabulary))
+    return Classifier(vocabulary, weights, level(free.times(weights), prior))
 
 
 def score(docs: DataFrame, classifier: Classifier, text_col: str = "text", name: str = "score") -> DataFrame:

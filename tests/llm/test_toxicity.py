@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lakemart.llm import toxicity
-from lakemart.llm.queries import op5_nnpu
+from lakemart.llm.queries import documents as documents_of
+from lakemart.llm.queries import held_out, op5_nnpu
 
 BAD = ["awful", "vile", "nasty"]
 
@@ -74,3 +76,25 @@ def test_held_out_documents(spark):
     caught, marked = got[got.toxic == 1], got[got.predicted == 1]
     assert (caught.predicted == 1).mean() > 0.6
     assert (marked.toxic == 1).mean() > 0.8
+
+
+def test_smallest_tables_keep_clean_documents(spark):
+    folder = "/root/testdata/sf0.001"  # 9 confirmed positives to learn from
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = op5_nnpu(spark, folder).join(labels, "doc_id").where("held_out and toxic = 0").select("predicted").toPandas()
+    assert len(got) > 10 and got.predicted.mean() < 0.1
+
+
+@pytest.mark.parametrize(("positives", "most"), [(10, 0.1), (30, 0.03)])
+def test_few_positives_keep_clean_documents(spark, positives, most):
+    folder = "/root/testdata/sf0.1"
+    docs = documents_of(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null")
+    learned = labels.join(docs.where(~held_out()).select("doc_id"), "doc_id", "left_semi").orderBy("doc_id").toPandas()
+    bad, good = learned[learned.toxic == 1], learned[learned.toxic == 0]
+    some = [*bad.doc_id[:positives], *good.doc_id[: len(good) * positives // len(bad)]]
+    model = toxicity.train(docs.where(~held_out()), labels.where(F.col("doc_id").isin([int(i) for i in some])))
+    clean = [r.text or "" for r in docs.where(held_out()).join(labels.where("toxic = 0"), "doc_id", "left_semi").select("text").collect()]
+    scores = np.array(model.score(clean))
+    assert len(clean) > 500 and (scores >= toxicity.THRESHOLD).mean() < most
+    assert model.score([""])[0] < toxicity.THRESHOLD
