@@ -81,10 +81,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reach; ``component_id`` is its smallest id. Null and empty texts have an empty set,
     link with nothing and are their own component. Repeated rows are exact
     copies of each other; a null id takes part but is never the smallest. Shingles are
-    64-bit hashes. ``docs`` is read several times and must be a stored table.
+    64-bit hashes. ``docs`` is read once; later steps read its numbered rows as stored,
+    since a scan can be split in another way, and so numbered anew, each time.
     """
     source = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    return _components(source, width, percent).drop("component")
+    return _components(store(source, "documents"), width, percent).drop("component")
 
 
 def _components(source: DataFrame, width: int, percent: int) -> DataFrame:

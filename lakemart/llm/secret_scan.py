@@ -108,10 +108,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     n_live, n_examples``.
 
     Null and empty texts have no spans; a null owner counts as one owner. Repeated rows are
-    reported each; a null id is reported as null. ``docs`` is read more than once and
-    must be a stored table.
+    reported each; a null id is reported as null. ``docs`` is read once, and its
+    numbered rows are stored, since another scan could number them anew.
     """
-    rows = _rows(docs, id_col, text_col, owner_col)
+    rows = store(_rows(docs, id_col, text_col, owner_col), "documents")
     order = F.element_at(F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i)))), F.col("kind"))
     written = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("end").cast("string"))
     span = F.struct("start", order.alias("order"), written.alias("written"))

@@ -29,3 +29,27 @@ def stored(documents, tmp_path):
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     return make
+
+
+@pytest.fixture
+def replanned(spark, monkeypatch):
+    """Makes a module's scans be split in another way after each step it stores, as on a
+    cluster whose cores change."""
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    splits = [("1", "40"), ("0", "1")]
+
+    def make(module):
+        put, turn = module.store, []
+
+        def store(df, name):
+            made = put(df, name)
+            turn.append(name)
+            for key, value in zip(names, splits[len(turn) % 2], strict=True):
+                spark.conf.set(key, value)
+            return made
+
+        monkeypatch.setattr(module, "store", store)
+
+    yield make
+    for key in names:
+        spark.conf.unset(key)

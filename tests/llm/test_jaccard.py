@@ -107,3 +107,13 @@ def test_drop_keeps_one_of_each(spark, tmp_path):
     got = jaccard.drop_near_duplicates(spark.read.parquet(str(tmp_path / "d")))
     assert got.columns == df.columns
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a b c d e f", 5, "x"), (3, None, 7, "z"), (4, "", 8, "q")]
+
+
+def test_scan_split_anew_between_steps(stored, replanned):
+    words = [f"w{i}" for i in range(60)]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(words, k=20 + i % 9)) for i in range(60)]
+    rows = list(enumerate(texts + [t + " more" for t in texts[:25]] + texts[30:40]))
+    docs = stored(rows, parts=6)
+    replanned(jaccard)
+    check(docs, rows)

@@ -75,3 +75,10 @@ def test_redaction_leaves_examples(stored, documents):
 def test_hot_secret(stored):
     rows = [(i, f"password={'same' * 3}" if i % 3 == 0 else f"password=own{i:08d}", "en", f"s{i % 7}") for i in range(900)]
     assert sorted((tuple(r) for r in secret_scan.report(stored(rows)).collect()), key=repr) == brute(rows)
+
+
+def test_scan_split_anew_between_steps(stored, replanned):
+    rows = [(i, f"{'x ' * i}password=own{i:08d}" if i % 4 else "plain", "en", f"s{i % 7}") for i in range(120)]
+    docs = stored(rows, parts=6)
+    replanned(secret_scan)
+    assert sorted((tuple(r) for r in secret_scan.report(docs).collect()), key=repr) == brute(rows)
