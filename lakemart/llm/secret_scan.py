@@ -75,17 +75,17 @@ def scan(rows: DataFrame) -> DataFrame:
     lie outside all spans of the base kinds.
 
     Copies are counted in two steps (value and owner, then value), each summed before
-    its shuffle, and only values with several owners are joined back, handed out
-    in 16 slices: a value that a third of the rows hold does not meet in one task.
+    its shuffle, and only values of several rows are joined back (the others have one owner
+    and one repository), handed out in 16 slices: a value that a third of the rows hold does not meet in one task.
     """
     every = store(candidates(rows), "candidates")
     per_owner = every.select("digest", "owner", "row").distinct().groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("rows"))
     shared = per_owner.groupBy("digest").agg(F.count(F.lit(1)).alias("owners"), F.sum("rows").alias("repositories"))
-    spread = shared.where("owners > 1").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
+    spread = shared.where("repositories > 1").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
     known = (
         every.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(16)))
         .join(spread, ["digest", "slice"], "left").drop("slice")
-        .withColumn("owners", F.coalesce("owners", F.lit(1)))
+        .withColumns({c: F.coalesce(c, F.lit(1)) for c in ("owners", "repositories")})
         .withColumn("live", F.col("owners") < EXAMPLE_OWNERS)
     )
     base = F.col("kind") != "bare"

@@ -82,3 +82,10 @@ def test_scan_split_anew_between_steps(stored, replanned):
     docs = stored(rows, parts=6)
     replanned(secret_scan)
     assert sorted((tuple(r) for r in secret_scan.report(docs).collect()), key=repr) == brute(rows)
+
+
+def test_repositories_of_every_value(stored):
+    rows = [(i, f"password={'same' * 3}", "en", "hot") for i in range(50)] + [(60, "token=single12345", "en", "a"), (61, "token=shared12345 token=shared12345", "en", "a"), (62, "token=shared12345", "en", "b")]
+    found = secret_scan.scan(secret_scan.store(secret_scan._rows(stored(rows), "doc_id", "text", "source"), "documents"))
+    got = {(r.owner, r.owners, r.repositories) for r in found.where("kind = 'assign'").collect()}
+    assert got == {("hot", 1, 50), ("a", 1, 1), ("a", 2, 2), ("b", 2, 2)}
