@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, jaccard, langid, packing, quality, secret_scan, sharding, toxicity, urls
+from . import bpe, dedup, jaccard, langid, packing, pieces, prefixes, quality, secret_scan, sharding, spelling, toxicity, urls
 
 #: The rules of the URL query: (host, path, verdict).
 URL_RULES = [
@@ -87,11 +87,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(documents(spark, sf_dir)).drop("row")
 
 
+def op11_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
+def op12_gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_rollup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_divergence, op2_hash_tree, op3_url_trie, op4_script_viterbi, op5_nnpu, op6_forced_boundaries, op7_best_fit,
-        op8_ownership, op9_jaccard_join, op10_exact_dedup,
+        op8_ownership, op9_jaccard_join, op10_exact_dedup, op11_offset_pieces, op12_gram_blocks, op13_rollup_trie,
     )
 }
 
@@ -261,4 +273,75 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from t window g as (partition by text_sha256)
 """
 
-ORACLES: dict[str, str] = {"op1_divergence": OP1, "op3_url_trie": OP3, "op8_ownership": OP8, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
+# The unsigned CRC-32 of an ASCII or UTF-8 text, from its table.
+_CRC_TABLE = """crc_table as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)
+)"""
+
+
+def _crc(octets: str) -> str:
+    """Of a list of byte values, in a query that has ``crc_table``."""
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_OCTETS = """list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda x: ('0x' || x)::bigint)"""
+
+OP12 = rf"""
+with recursive {_CRC_TABLE}, found as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents
+), counted as (select doc_id, run, count(*) as n from found group by all),
+hashed as (select *, {_crc(_OCTETS.format("doc_id || ':' || run"))} as h from counted, crc_table),
+worn as (
+  select case when h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, n from hashed
+), words as (select word, sum(n)::bigint as n from worn where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select *, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word, b.word as other, b.n from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select w.word, c.word, c.n from words w join cut c on c.rest = w.word
+  union select c.word, w.word, w.n from words w join cut c on c.rest = w.word
+), best as (
+  select word, count(*) as n_near, max(n) as best_n, first(other order by n desc, encode(other)) as best from near group by word
+), forms as (
+  select word, w.n, case when best_n >= 2 * w.n then best end as form, case when best_n >= 2 * w.n then best_n end as form_n, coalesce(n_near, 0)::bigint as n_near
+  from words w left join best using (word)
+), walk as (
+  select word, word as at from forms
+  union select w.word, f.form from walk w join forms f on f.word = w.at where f.form is not null
+)
+select f.word, f.form, w.at as root, f.n, f.n_near, f.form_n
+from forms f join walk w on w.word = f.word join forms e on e.word = w.at and e.form is null
+"""
+
+OP13 = rf"""
+with {_CRC_TABLE}, own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), text) as turns
+  from conversations where conv_id is not null group by conv_id
+), sized as (select *, ({_crc(_OCTETS.format("conv_id::varchar"))} % 6)::bigint as h from own, crc_table),
+made as (
+  select s.conv_id, case when s.h = 0 then s.turns else list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) end as turns
+  from sized s left join own b on b.conv_id = s.conv_id - s.conv_id % 100
+), prefixes as (select conv_id, unnest(range(0, len(turns) + 1)) as depth, turns from made),
+keyed as (select conv_id, depth, len(turns) as length, turns[1:depth] as key from prefixes),
+nodes as (
+  select key, depth, min(conv_id) as conv_id, count(*) as n_convs, coalesce(length(key[-1].text), 0) as chars,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (length = depth), '')) as ends_sha256
+  from keyed group by key, depth
+), linked as (
+  select n.*, p.conv_id as parent_conv_id, coalesce(c.n_children, 0) as n_children
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.key = n.key[1:n.depth - 1] and n.depth > 0
+  left join (select key[1:depth - 1] as key, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all) c on c.key = n.key and c.depth = n.depth
+), below as (
+  select key[1:up] as key, up as depth, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * chars) as saved_tokens
+  from (select *, unnest(range(0, depth + 1)) as up from linked) group by all
+)
+select conv_id, depth::bigint as depth, parent_conv_id, n_convs::bigint as n_convs, n_children::bigint as n_children, n_leaves::bigint as n_leaves,
+  saved_tokens::bigint as saved_tokens, ends_sha256
+from linked join below using (key, depth)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_divergence": OP1, "op3_url_trie": OP3, "op8_ownership": OP8, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10,
+    "op12_gram_blocks": OP12, "op13_rollup_trie": OP13,
+}
