@@ -234,7 +234,8 @@ def _parents(counted: DataFrame, own: DataFrame) -> DataFrame:
     few = store(named.where("hot").drop("hot"), "hot")
     near = tops.join(F.broadcast(few), _KEY)
     far = tops.join(F.broadcast(few.select(*_KEY)), _KEY, "left_anti").join(named.where("not hot").drop("hot"), _KEY)
-    return near.unionByName(far).select("conv_id", (F.col("depth") + 1).alias("depth"), "parent_conv_id")
+    found = near.unionByName(far).select("conv_id", (F.col("depth") + 1).alias("depth"), "parent_conv_id")
+    return found.repartition("conv_id", "depth")  # dealt evenly, whatever the scans of the two were
 
 
 def _ends(blocks: DataFrame) -> DataFrame:
