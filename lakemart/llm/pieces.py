@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from .common import pick, ship
 
 #: Units (words with the spaces before them) a worker remembers, some 500 bytes each, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 200
+REMEMBERED, LONGEST = 400_000, 200
+#: Letters of a unit that is merged without a heap.
+SHORT = 40
 
 # Fixed values of the model format: fields of the messages, kinds of pieces, the mark for a space.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -97,9 +99,12 @@ class Units(dict):
         self.model = model
 
     def __missing__(self, unit: str) -> tuple[int, str, str, bytes]:
-        model = self.model
-        ids, sizes = model.merged(unit)
-        made = len(ids), "".join(f"{i} " for i in ids), model.plain(ids), np.array(sizes, dtype="<i4").tobytes()
+        parts = self.model.fragments(unit)
+        if len(parts) == 1:
+            made = self.model.encoded(unit)
+        else:
+            counts, ids, texts, sizes = zip(*[self[p] for p in parts], strict=True)
+            made = sum(counts), "".join(ids), "".join(texts), b"".join(sizes)
         if len(unit) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -132,11 +137,13 @@ class Model:
         self.kinds = kinds
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, kinds, strict=True)) if k == _NORMAL}
         self.score = {p: -scores[i] for p, i in self.ids.items()}
+        self.shown = {p: (f"{i} ", struct.pack("<i", len(p.encode()))) for p, i in self.ids.items()}
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i, k in enumerate(kinds) if k == _BYTE}
         self.octet = {i: b for b, i in self.bytes.items()}
         self.unknown = kinds.index(_UNKNOWN)
         # where no piece has a mark behind another letter, nothing is merged across a word's start
         self.cuts = self.escape and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        self.together = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.units = Units(self)
 
     # normalising
@@ -198,49 +205,78 @@ class Model:
 
     # merging
 
-    def merged(self, unit: str) -> tuple[list[int], list[int]]:
-        """Ids, and the bytes of normalised text each covers: neighbours that make the piece of
-        the best score are joined, the leftmost first, until none make a piece."""
-        parts: list[str] = list(unit)
+    def fragments(self, unit: str) -> list[str]:
+        """The unit, cut where its last letters stand together in no piece, as a point and what
+        goes before it: nothing is merged across."""
+        if len(unit) > 1 and unit[-2:] not in self.together and len(unit) <= LONGEST:
+            return [unit[:-1], unit[-1]]
+        return [unit]
+
+    def merged(self, unit: str) -> list[str]:
+        """Neighbours that make the piece of the best score are joined, the leftmost first, until
+        none make a piece. Short units are searched for the best, long ones keep a heap."""
+        parts, score, none = list(unit), self.score.get, float("inf")
+        if len(parts) > SHORT:
+            return self._merged_long(parts)
+        ranks = [score(a + b, none) for a, b in zip(parts, parts[1:])]  # noqa: B905
+        while ranks and (best := min(ranks)) is not none:
+            i = ranks.index(best)
+            del ranks[i]
+            parts[i] = piece = parts[i] + parts.pop(i + 1)
+            if i:
+                ranks[i - 1] = score(parts[i - 1] + piece, none)
+            if i < len(ranks):
+                ranks[i] = score(piece + parts[i + 1], none)
+        return parts
+
+    def _merged_long(self, parts: list[str]) -> list[str]:
         after = [*range(1, len(parts)), -1]
         before = list(range(-1, len(parts) - 1))
-        score = self.score.get
-        heap = []
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(i: int, j: int) -> None:
+            piece = parts[i] + parts[j]
+            if piece in self.score:
+                heapq.heappush(heap, (self.score[piece], i, piece))
+
         for i in range(len(parts) - 1):
-            rank = score(parts[i] + parts[i + 1])
-            if rank is not None:
-                heap.append((rank, i, parts[i] + parts[i + 1]))
-        heapq.heapify(heap)
+            offer(i, i + 1)
         while heap:
             _, i, piece = heapq.heappop(heap)
             j = after[i]
             if not parts[i] or j < 0 or parts[i] + parts[j] != piece:
                 continue  # one of the two has been joined with another since
             parts[i], parts[j] = piece, ""
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                rank = score(piece + parts[k])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, piece + parts[k]))
-            h = before[i]
-            if h >= 0:
-                rank = score(parts[h] + piece)
-                if rank is not None:
-                    heapq.heappush(heap, (rank, h, parts[h] + piece))
-        ids, sizes = [], []
-        for part in filter(None, parts):
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+                offer(i, after[i])
+            if before[i] >= 0:
+                offer(before[i], i)
+        return list(filter(None, parts))
+
+    def encoded(self, unit: str) -> tuple[int, str, str, bytes]:
+        """Of a unit: the number of ids, the ids, each with a space behind it, the decoded text,
+        and the bytes of normalised text that each id covers."""
+        parts = self.merged(unit)
+        try:
+            ids, sizes = zip(*[self.shown[p] for p in parts], strict=True)
+            return len(parts), "".join(ids), unit.replace(MARK, " "), b"".join(sizes)
+        except KeyError:
+            return self._encoded_unknown(parts)
+
+    def _encoded_unknown(self, parts: list[str]) -> tuple[int, str, str, bytes]:
+        ids: list[int] = []
+        sizes: list[int] = []
+        for part in parts:
             octets = part.encode()
-            if part in self.ids:
-                ids.append(self.ids[part])
-                sizes.append(len(octets))
-            elif self.fallback:  # the last of a letter's bytes covers it
+            if part not in self.ids and self.fallback:  # the last of a letter's bytes covers it
                 ids += [self.bytes[b] for b in octets]
                 sizes += [0] * (len(octets) - 1) + [len(octets)]
             else:
-                ids.append(self.unknown)
+                ids.append(self.ids.get(part, self.unknown))
                 sizes.append(len(octets))
-        return ids, sizes
+        return len(ids), "".join(f"{i} " for i in ids), self.plain(ids), np.array(sizes, dtype="<i4").tobytes()
 
     def encode(self, text: str | None) -> tuple[list[tuple[int, str, str, bytes]], np.ndarray]:
         """A text's units as ``Units`` has them, and the source bytes where its pieces begin,
