@@ -138,7 +138,7 @@ def near_words(words: DataFrame) -> DataFrame:
     same = F.array_max("move") == 0
     pairs = left.join(blocks, _CELL).where(~same | (F.col("l_sub") <= F.col("sub")))
     own = (same & (F.col("l_sub") == F.col("sub"))).alias("own")
-    pairs = pairs.repartition(*_CELL, "l_sub", "sub").select("l_words", "l_ns", "words", "ns", own)
+    pairs = pairs.repartition(*_CELL, *(f"l_{c}" for c in _CELL), "l_sub", "sub").select("l_words", "l_ns", "words", "ns", own)
 
     def multiply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
