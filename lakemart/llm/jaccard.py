@@ -81,53 +81,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reach; ``component_id`` is its smallest id. Null and empty texts have an empty set,
     link with nothing and are their own component. Repeated rows are exact
     copies of each other; a null id takes part but is never the smallest. Shingles are
-    64-bit hashes. ``docs`` is read once; later steps read its numbered rows as stored,
-    since a scan can be split in another way, and so numbered anew, each time.
+    64-bit hashes. ``docs`` is read once: its rows are numbered and hashed in one pass, and later
+    steps read what that pass stored, since a scan can be split in another way each time.
     """
     source = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    return _components(store(source, "documents"), width, percent).drop("component")
+    return _components(source, width, percent).drop("component")
 
 
 def _components(source: DataFrame, width: int, percent: int) -> DataFrame:
-    """For ``row, doc_id, text``, whose row numbers are the same at each read."""
+    """For ``row, doc_id, text``. Each text is hashed once; the hashes of the first block of
+    columns are stored apart from the others, so that its two passes read only these."""
     limit = int(FIRST_BLOCK * 2**64) - 2**63
-    sized = store(
+    hashed = store(
         _with_shingles(source, width).select(
             "row", "doc_id", "sequence", F.size("grams").alias("n"),
-            F.size(F.filter("grams", lambda g: g < limit)).alias("n_block"),
+            F.filter("grams", lambda g: g < limit).alias("first"), F.filter("grams", lambda g: g >= limit).alias("rest"),
         ),
-        "sizes",
+        "shingles",
     )
+    sized = hashed.select("row", "doc_id", "sequence", "n")
     classes = store(
-        sized.where("n > 0").groupBy("sequence").agg(
+        hashed.where("n > 0").groupBy("sequence").agg(
             F.min("row").alias("node"), F.min("doc_id").alias("least"), F.first("n").alias("n"),
-            F.first("n_block").alias("n_block"), F.count(F.lit(1)).alias("copies"),
+            F.first(F.size("first")).alias("n_block"), F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
     )
-    large = classes.where(F.col("copies") > SUPPORT * sized.count()).select("sequence", "node")  # 1 / SUPPORT rows at most
-    ranked = _ranked(_survivors(source, classes, large, width, percent, limit), percent)
+    large = classes.where(F.col("copies") > SUPPORT * hashed.count()).select("sequence", "node")  # 1 / SUPPORT rows at most
+    ranked = _ranked(_survivors(hashed, classes, large, percent), percent)
     return _labelled(sized, classes, large, _groups(ranked, percent))
 
 
-def _survivors(source: DataFrame, classes: DataFrame, large: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
+def _survivors(hashed: DataFrame, classes: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """``node, n, grams`` of the rows that the first block of columns cannot rule out."""
-    made = _with_shingles(source, width).join(F.broadcast(large), "sequence", "left")
-    block = made.where(F.col("node").isNull() | (F.col("node") == F.col("row"))).select(
-        "row", F.explode(F.filter("grams", lambda g: g < limit)).alias("gram")
-    )
+    made = hashed.select("row", "sequence", "first").join(F.broadcast(large), "sequence", "left")
+    block = made.where(F.col("node").isNull() | (F.col("node") == F.col("row"))).select("row", F.explode("first").alias("gram"))
     common = block.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("gram")
     shared = block.join(common, "gram", "left_semi").groupBy("row").agg(F.count(F.lit(1)).alias("shared"))
     able = store(
         classes.join(shared.withColumnRenamed("row", "node"), "node", "left")
         .where(F.coalesce("shared", F.lit(0)) >= F.col("n_block") - (F.col("n") - _need(F.col("n"), percent)))
-        .select("node", "n"),
+        .select("node"),
         "able",
     )
     few = able.count() <= BROADCAST_ROWS
-    texts = source.withColumnRenamed("row", "node").join(F.broadcast(able) if few else able, "node").withColumnRenamed("node", "row")
-    again = _with_shingles(texts, width)
-    return store(again.select(F.col("row").alias("node"), F.size("grams").alias("n"), "grams"), "survivors")
+    rows = hashed.select(F.col("row").alias("node"), "n", F.concat("first", "rest").alias("grams"))
+    return store(rows.join(F.broadcast(able) if few else able, "node"), "survivors")
 
 
 def _ranked(rows: DataFrame, percent: int) -> DataFrame:
