@@ -13,7 +13,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, quality
+from ..operators import quality
 from ..operators.history import current
 from ..operators.schedule import payment_schedule
 from ..session import shared_folder
@@ -59,9 +59,8 @@ class BuiltLayer(Layer):
         if table in self._recipes and table not in self._ready:
             with self._locks[table]:
                 if table not in self._ready:
-                    if table in self._stale or not self.adopt(table):
+                    if table in self._stale or not Layer.exists(self, table):
                         self._store(table, self._recipes[table]())
-                        self.mark_stored(table)
                     self._ready.add(table)
                     self._stale.discard(table)
         return super().table(table)
@@ -80,11 +79,10 @@ class BuiltLayer(Layer):
         if table.removeprefix(f"{SCHEMA_NAME}.") == loads.BALANCES:
             by_day = df.hint("rebalance", "snapshot_date")
             self.overwrite(by_day, table, ["snapshot_date"])
-        elif table in FOREIGN_KEYS:
-            # Facts are stored by month, so date filters skip whole partitions.
+        elif table in FOREIGN_KEYS or table in loads.SUMMARIES:
+            # Facts and summaries are stored by month, so date filters skip whole partitions.
             # Rebalancing gives each month few files and cuts one too big for a task.
-            monthly = df.withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int"))
-            self.overwrite(monthly.hint("rebalance", MONTH), table, [MONTH])
+            self.overwrite(loads.monthly(df).hint("rebalance", MONTH), table, [MONTH])
         else:
             self.overwrite(df, table)
 
@@ -98,11 +96,16 @@ class Lake:
     def star(self) -> Mapping[str, DataFrame]:
         return self.gold.all()
 
-    def load_balances(self, new: DataFrame, load_ts: str | None = None) -> None:
-        """A daily load of balances; see ``loads.load_balances``."""
-        for layer, table in ((self.raw, f"{SCHEMA_NAME}.{loads.BALANCES}"), (self.silver, loads.BALANCES), (self.gold, "fact_daily_balances")):
+    def load_balances(self, new: DataFrame, load_ts: str | None = None) -> list[str]:
+        """A daily load of balances, up to the summaries built on them; see
+        ``loads.load_balances``. Returns the tables of the star that were written."""
+        raw_table = f"{SCHEMA_NAME}.{loads.BALANCES}"
+        for layer, table in ((self.raw, raw_table), (self.silver, loads.BALANCES), (self.gold, "fact_daily_balances")):
             layer.table(table)  # what there was before
-        loads.load_balances(self.raw, self.silver, self.gold, new, self.silver.table, self.gold.table, load_ts)
+        kept = [t for t in loads.built_on("fact_daily_balances") if Layer.exists(self.gold, t)]
+        return loads.load_balances(
+            self.raw, self.silver, self.gold, new, self.silver.table, self.gold.table, load_ts, raw_table=raw_table, summaries=kept
+        )
 
     def record_checks(self, batch: str | None = None, executed: str | None = None) -> DataFrame:
         """Runs every check again and adds its results to the stored ones."""
@@ -172,14 +175,7 @@ def gold_recipes(typed: Layer, star: Callable[[str], DataFrame], load_ts: str, b
         "fact_daily_balances": lambda: gold.fact_daily_balances(typed.table("balances_daily"), dims()),
         "fact_loans": lambda: gold.fact_loans(typed.table("loans"), dims()),
         "fact_loan_payments": lambda: gold.fact_loan_payments(typed.table("loan_payments"), dims()),
-        "fact_branch_daily_summary": lambda: marts.branch_daily(star("fact_daily_balances")),
-        "fact_branch_daily_wide": lambda: marts.branch_daily_wide(
-            star("fact_transactions"), star("fact_daily_balances"), star("fact_loans"), star("fact_loan_payments")
-        ),
-        "fact_customer_daily_portfolio": lambda: marts.customer_daily(star("fact_loans")),
-        "fact_customer_daily_wide": lambda: marts.customer_daily_wide(
-            star("fact_transactions"), star("fact_daily_balances"), star("fact_loans"), star("dim_card"), star("dim_customer")
-        ),
+        **{name: lambda n=name: loads.summary(n, star) for name in loads.SUMMARIES},
         "dq_results": results,
     }
     return recipes

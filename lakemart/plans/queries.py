@@ -27,7 +27,7 @@ from ..sources.ingest import convert, copy_folder
 from ..sources.layers import Layer
 from ..sources.schemas import conform, gold_schema
 from . import gold, silver
-from .loads import BALANCES, load_balances, record_checks
+from .loads import BALANCES, built_on, load_balances, monthly, record_checks, summary
 from .medallion import AS_OF, FOREIGN_KEYS, LOAD_TS, check, lake, to_warehouse
 from .model import BRANCH, CUSTOMER, DATE, MONTH, L, P, T
 from .report import pack, report
@@ -354,20 +354,56 @@ def q_balances_append(spark, sf_dir):
     return area.replace_days(balances.where(date >= 10), "balances_daily", "snapshot_date")
 
 
+_loaded: dict[tuple[str, str], Layer] = {}
+
+
+def _after_two_loads(spark, sf_dir) -> Layer:
+    """A star's facts and summaries of balances after two daily loads: days 1 to 20, the last of
+    them still wrong, then days 15 to 30, after which only these days' months are summed up anew."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        stored = lake(spark, sf_dir)
+        areas = [_scratch(spark, sf_dir, f"load_{layer}") for layer in ("raw", "silver", "gold")]
+        summaries = built_on("fact_daily_balances")
+        for area, tables in zip(areas, ([BALANCES], [BALANCES], ["fact_daily_balances", *summaries]), strict=True):
+            for table in tables:
+                area.drop(table)
+        star = areas[2]
+
+        def tables(name: str) -> DataFrame:
+            return star.table(name) if star.exists(name) else stored.gold.table(name)
+
+        balances, date = _raw(spark, sf_dir, "balances_daily"), F.dayofmonth("snapshot_date")
+        wrong = F.when(date >= 15, -F.col("end_of_day_balance")).otherwise(F.col("end_of_day_balance"))
+        first = balances.where(date <= 20).withColumn("end_of_day_balance", wrong)
+        load_balances(*areas, first, stored.silver.table, tables, LOAD_TS)
+        for name in summaries:
+            star.overwrite(monthly(summary(name, tables)), name, [MONTH])
+        load_balances(*areas, balances.where(date >= 15), stored.silver.table, tables, LOAD_TS, summaries=summaries)
+        _loaded[key] = star
+    return _loaded[key]
+
+
 @query
 def q_daily_load(spark, sf_dir):
-    """Days 1 to 20, the last of them still wrong, then days 15 to 30: the fact equals one load of all."""
-    stored = lake(spark, sf_dir)
-    areas = [_scratch(spark, sf_dir, f"load_{layer}") for layer in ("raw", "silver", "gold")]
-    for area in areas:
-        area.drop(BALANCES)
-        area.drop("fact_daily_balances")
-    balances, date = _raw(spark, sf_dir, "balances_daily"), F.dayofmonth("snapshot_date")
-    wrong = F.when(date >= 15, -F.col("end_of_day_balance")).otherwise(F.col("end_of_day_balance"))
-    first = balances.where(date <= 20).withColumn("end_of_day_balance", wrong)
-    for days in (first, balances.where(date >= 15)):
-        load_balances(*areas, days, stored.silver.table, stored.gold.table, LOAD_TS)
-    return areas[2].table("fact_daily_balances").drop(MONTH)
+    """The fact after two loads equals one load of all."""
+    return _after_two_loads(spark, sf_dir).table("fact_daily_balances").drop(MONTH)
+
+
+@query
+def q_load_branch_daily(spark, sf_dir):
+    """So do the summaries built on it, of which the second load wrote its months only."""
+    return conform(_after_two_loads(spark, sf_dir).table("fact_branch_daily_summary"), gold_schema("fact_branch_daily_summary"))
+
+
+@query
+def q_load_branch_daily_wide(spark, sf_dir):
+    return _after_two_loads(spark, sf_dir).table("fact_branch_daily_wide").drop(MONTH)
+
+
+@query
+def q_load_customer_daily_wide(spark, sf_dir):
+    return _after_two_loads(spark, sf_dir).table("fact_customer_daily_wide").drop(MONTH)
 
 
 @query

@@ -454,6 +454,7 @@ PLAIN["q_balances_append"] = """
     FROM raw_balances_daily
 """
 PLAIN["q_daily_load"] = PLAIN["q_fact_daily_balances"]
+PLAIN |= {f"q_load_{name}": PLAIN[f"q_{name}"] for name in ("branch_daily", "branch_daily_wide", "customer_daily_wide")}
 PLAIN["q_dq_history"] = f"""
     SELECT * FROM ({PLAIN["q_dq_results"]})
     UNION ALL SELECT * REPLACE ('batch-2' AS batch_id) FROM ({PLAIN["q_dq_results"]})

@@ -1,11 +1,17 @@
+import subprocess
+import sys
 import uuid
+from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
-from lakemart.plans.medallion import BuiltLayer
+from lakemart.plans.medallion import AS_OF, BATCH, LOAD_TS, BuiltLayer, open_lake
 from lakemart.session import shared_folder
+from lakemart.sources import fixtures
 from lakemart.sources.ingest import copy_folder, discover_files
 from lakemart.sources.layers import Layer
 
@@ -73,7 +79,7 @@ def test_stored_tables_are_read_and_not_built_again(spark, frame, tmp_path):
     assert len(built) == 2
     again = BuiltLayer(spark, database, folder, recipes)
     assert {t: values(again.table(t)) for t in recipes} == wanted and len(built) == 2
-    # a session without a lasting catalog finds the files
+    # so does a session that knows nothing but the folder
     elsewhere = BuiltLayer(spark, database + "x", folder, recipes)
     assert values(elsewhere.table("a")) == wanted["a"]
     assert values(elsewhere.table("fact_loans").select("date_key", "w")) == [(20240105, 2), (20240201, 3)] and len(built) == 2
@@ -82,6 +88,132 @@ def test_stored_tables_are_read_and_not_built_again(spark, frame, tmp_path):
     assert len(built) == 3
 
 
+def days(frame, *rows):
+    return frame([(date(2024, 1, d), v) for d, v in rows], "d date, v int")
+
+
+def test_a_reader_keeps_its_version(layer, frame):
+    first = layer.replace_days(days(frame, (1, 1), (2, 2)), "t", "d")
+    second = layer.replace_days(days(frame, (2, 9)), "t", "d")
+    assert values(first, "v") == [(1,), (2,)] and values(second, "v") == [(1,), (9,)]
+    third = layer.overwrite(second.withColumn("v", second.v + 1), "t", ["d"])  # from itself
+    assert values(third, "v") == [(10,), (2,)] and values(second, "v") == [(1,), (9,)]
+
+
+def test_a_failed_write_changes_nothing(layer, frame):
+    layer.overwrite(frame([(1,)], "a int"), "t")
+    with pytest.raises(Exception, match="boom"):
+        layer.overwrite(frame([(1,)], "a int").selectExpr("raise_error('boom') as a"), "t")
+    assert values(layer.table("t")) == [(1,)]
+    kept = layer.live("t").loads[0].id
+    assert len(layer.vacuum("t")) >= 0 and layer.live("t").loads[0].id == kept and values(layer.table("t")) == [(1,)]
+
+
+def test_days_taken_out_null_days_and_compaction(layer, frame):
+    rows = [(date(2024, 1, 1), 1), (date(2024, 1, 2), 2), (None, 3)]
+    layer.replace_days(frame(rows, "d date, v int"), "t", "d")
+    got = layer.swap_days(frame([(None, 4), (date(2024, 1, 3), 5)], "d date, v int"), "t", "d", [date(2024, 1, 1), date(2023, 1, 1)])
+    want = sorted([(date(2024, 1, 2), 2), (date(2024, 1, 3), 5), (None, 4)], key=repr)
+    assert values(got, "d", "v") == want
+    more = layer.append(frame([(date(2024, 1, 2), 6, "new")], "d date, v int, w string"), "t")
+    assert values(more, "d", "v", "w") == sorted([(*r, None) for r in want] + [(date(2024, 1, 2), 6, "new")], key=repr)
+    packed = layer.compact("t")
+    assert values(packed, "d", "v", "w") == values(more, "d", "v", "w") and len(layer.live("t").loads) == 1
+    layer.drop_days("t", "d", [date(2024, 1, 2), None])
+    assert values(layer.table("t"), "d", "v") == [(date(2024, 1, 3), 5)]
+    layer.drop_days("t", "d", [date(2024, 1, 3)])
+    assert layer.table("t").count() == 0 and layer.table("t").columns == ["v", "w", "d"]
+    with pytest.raises(ValueError, match="stored by d"):
+        layer.replace_days(frame([(1, 1)], "v int, x int"), "t", "x")
+
+
+def test_dead_days_are_not_read(layer, frame):
+    layer.replace_days(days(frame, (1, 1), (2, 2)), "t", "d")
+    layer.replace_days(days(frame, (2, 3)), "t", "d")
+    files = {f.split("_load=")[1].split("/")[0] + f.split("/d=")[1].split("/")[0] for f in layer.table("t").select("v", F.col("_metadata.file_path")).rdd.map(lambda r: r[1]).collect()}
+    first, second = (one.id for one in layer.live("t").loads)
+    assert files == {first + "2024-01-01", second + "2024-01-02"}
+
+
+def test_a_write_from_an_old_version_is_refused(layer, frame):
+    layer.overwrite(frame([(1,)], "a int"), "t")
+    was, load = layer.live("t"), layer._write(frame([(3,)], "a int"), "t", None)
+    layer.overwrite(frame([(2,)], "a int"), "t")
+    with pytest.raises(RuntimeError, match="another session"):
+        layer._commit("t", was, replace(was, loads=(load,)))
+    assert values(layer.table("t")) == [(2,)]
+
+
+def test_sql_by_name(spark, layer, frame):
+    layer.overwrite(frame([(1, "x")], "a int, b string"), "dbo.t")
+    (name,) = layer.expose()
+    assert values(spark.sql(f"select b from {name}")) == [("x",)] and values(layer.query("dbo.t", "a + 1")) == [(2,)]
+
+
+OTHER_SESSION = """
+import sys
+from datetime import date
+from lakemart.plans.medallion import BuiltLayer
+from lakemart.session import local_session
+spark = local_session("1", 1, "other")
+step, folder = sys.argv[1:]
+def rows(*days):
+    return spark.createDataFrame([(date(2024, 1, d), v) for d, v in days], "d date, v int")
+layer = BuiltLayer(spark, "elsewhere", folder, {"a": lambda: spark.range(int(step)).toDF("n")})
+if step == "1":
+    layer.replace_days(rows(*((d, d) for d in range(1, 6))), "t", "d")
+    layer.table("a")
+else:
+    layer.replace_days(rows((3, 30)), "t", "d")
+    layer.table("a")
+    assert layer.table("a").count() == 1
+    layer.refresh("a")
+    assert layer.table("a").count() == 2
+print(sorted(tuple(r) for r in layer.table("t").select("v").collect()))
+"""
+
+
+def test_other_processes_load_and_rebuild(layer, tmp_path):
+    """Five days stored by one process, one of them loaded by the next: five days, in both and here."""
+    root = str(Path(__file__).resolve().parent.parent)
+    for step in ("1", "2"):
+        subprocess.run([sys.executable, "-c", OTHER_SESSION, step, layer.folder], check=True, cwd=root, capture_output=True, timeout=300)
+    assert values(layer.table("t"), "v") == [(1,), (2,), (30,), (4,), (5,)]
+    assert layer.table("a").count() == 2
+    layer.drop("t")
+    assert not layer.exists("t") and not (Path(layer.folder) / "t").exists()
+
+
+def test_daily_load_through_the_lake(spark, tmp_path):
+    """Raw, typed, fact and summaries have the new day; a rebuilt typed table keeps it; other
+    months' files of the summaries stay."""
+    tables = fixtures.raw_tables(spark, "/root/testdata/sf0.001")
+    balances = tables["balances_daily"]
+    months = balances.withColumn("snapshot_date", F.expr("add_months(snapshot_date, -1)")).where("snapshot_date < '2023-12-06'")
+    old = balances.where("snapshot_date < '2024-01-06'").unionByName(months)
+    lake = open_lake(spark, {**tables, "balances_daily": old}, str(tmp_path / "lake"), f"t{uuid.uuid4().hex[:6]}", LOAD_TS, AS_OF, BATCH)
+    names = ("fact_branch_daily_summary", "fact_branch_daily_wide", "fact_customer_daily_wide")
+    for name in names:
+        lake.gold.table(name)
+    december = {n: {f for f in files_of(lake.gold.table(n)) if "month_key=202312" in f} for n in names}
+    assert all(december.values())
+    new = balances.where("snapshot_date >= '2024-01-05' and snapshot_date < '2024-01-09'")
+    assert lake.load_balances(new, LOAD_TS) == ["fact_daily_balances", *names]
+    assert "balances_daily" not in lake.raw.tables() and lake.raw.table("dbo.balances_daily").agg(F.max("snapshot_date")).first()[0] == date(2024, 1, 8)
+    whole = balances.where("snapshot_date < '2024-01-09'").unionByName(months)
+    lake.silver.refresh("balances_daily")
+    assert lake.silver.table("balances_daily").agg(F.max("snapshot_date")).first()[0] == date(2024, 1, 8)
+    fresh = open_lake(spark, {**tables, "balances_daily": whole}, str(tmp_path / "fresh"), f"t{uuid.uuid4().hex[:6]}", LOAD_TS, AS_OF, BATCH)
+    for name in ("fact_daily_balances", *names):
+        one, other = lake.gold.table(name), fresh.gold.table(name)
+        assert one.columns == other.columns and one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty(), name
+    assert december == {n: {f for f in files_of(lake.gold.table(n)) if "month_key=202312" in f} for n in names}
+
+
+def files_of(df):
+    return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
 class FakeSession:
     """Just the settings ``shared_folder`` asks for."""
 
