@@ -81,21 +81,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reach; ``component_id`` is its smallest id. Null and empty texts have an empty set,
     link with nothing and are their own component. Repeated rows are exact
     copies of each other; a null id takes part but is never the smallest. Shingles are
-    64-bit hashes. ``docs`` is read once: its rows are numbered and hashed in one pass, and later
-    steps read what that pass stored, since a scan can be split in another way each time.
+    64-bit hashes. ``docs`` is read once; later steps read its numbered rows as stored,
+    since a scan can be split in another way, and so numbered anew, each time.
     """
     source = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    return _components(source, width, percent).drop("component")
+    return _components(store(source, "documents"), width, percent).drop("component")
 
 
 def _components(source: DataFrame, width: int, percent: int) -> DataFrame:
-    """For ``row, doc_id, text``. Each text is hashed once; the hashes of the first block of
-    columns are stored apart from the others, so that its two passes read only these."""
+    """For ``row, doc_id, text``, whose row numbers are the same at each read. Each text is hashed
+    once, and the hashes of the first block of columns are stored, as they are read twice.
+    Those of the other columns, twice as many, are made again for the few rows that need them."""
     limit = int(FIRST_BLOCK * 2**64) - 2**63
     hashed = store(
         _with_shingles(source, width).select(
             "row", "doc_id", "sequence", F.size("grams").alias("n"),
-            F.filter("grams", lambda g: g < limit).alias("first"), F.filter("grams", lambda g: g >= limit).alias("rest"),
+            F.filter("grams", lambda g: g < limit).alias("first"),
         ),
         "shingles",
     )
@@ -108,11 +109,11 @@ def _components(source: DataFrame, width: int, percent: int) -> DataFrame:
         "classes",
     )
     large = classes.where(F.col("copies") > SUPPORT * hashed.count()).select("sequence", "node")  # 1 / SUPPORT rows at most
-    ranked = _ranked(_survivors(hashed, classes, large, percent), percent)
+    ranked = _ranked(_survivors(source, hashed, classes, large, width, percent), percent)
     return _labelled(sized, classes, large, _groups(ranked, percent))
 
 
-def _survivors(hashed: DataFrame, classes: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+def _survivors(source: DataFrame, hashed: DataFrame, classes: DataFrame, large: DataFrame, width: int, percent: int) -> DataFrame:
     """``node, n, grams`` of the rows that the first block of columns cannot rule out."""
     made = hashed.select("row", "sequence", "first").join(F.broadcast(large), "sequence", "left")
     block = made.where(F.col("node").isNull() | (F.col("node") == F.col("row"))).select("row", F.explode("first").alias("gram"))
@@ -125,8 +126,9 @@ def _survivors(hashed: DataFrame, classes: DataFrame, large: DataFrame, percent:
         "able",
     )
     few = able.count() <= BROADCAST_ROWS
-    rows = hashed.select(F.col("row").alias("node"), "n", F.concat("first", "rest").alias("grams"))
-    return store(rows.join(F.broadcast(able) if few else able, "node"), "survivors")
+    able = able.withColumnRenamed("node", "row")
+    again = _with_shingles(source.join(F.broadcast(able) if few else able, "row"), width)
+    return store(again.select(F.col("row").alias("node"), F.size("grams").alias("n"), "grams"), "survivors")
 
 
 def _ranked(rows: DataFrame, percent: int) -> DataFrame:
@@ -344,5 +346,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = _components(copy.select("row", key.alias("doc_id"), text.alias("text")), width, percent)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     first = found.where("component is not null").groupBy("component").agg(F.min_by("row", order).alias("row")).select("row")
-    kept = first.unionByName(found.where("component is null").select("row"))
-    return copy.join(kept, "row", "left_semi").drop("row").toDF(*columns)
+    gone = store(found.where("component is not null").join(first, "row", "left_anti").select("row"), "gone")
+    few = gone.count() <= BROADCAST_ROWS  # then no text is shuffled
+    return copy.join(F.broadcast(gone) if few else gone, "row", "left_anti").drop("row").toDF(*columns)
