@@ -34,7 +34,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     there, so a lost executor costs no more than the step that was running. The
     folder may be removed once the query's result is stored."""
     path = f"{shared_folder(df.sparkSession)}/lakemart-llm/{uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
