@@ -58,6 +58,22 @@ def history(
     each key; default: ``df`` itself). ``hot_rows`` None: no key can be hot, and
     nothing is counted.
     """
+    return split_history(df, key, when, tracked, validity, ties, form, hot_rows, slice_unit, count_in)[0]
+
+
+def split_history(
+    df: DataFrame,
+    key: str,
+    when: str,
+    tracked: Sequence[str],
+    validity: Validity = SECONDS,
+    ties: Sequence[str] | None = None,
+    form: str = "json",
+    hot_rows: int | None = HOT_ROWS,
+    slice_unit: str = "hour",
+    count_in: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(the versions, the rows that repeat the version before them), as in ``history``."""
     order_ties = list(tracked if ties is None else ties)
     rows = df.withColumn("_print", fingerprint(tracked, form))
     hot, n_hot = (None, 0) if hot_rows is None else hot_keys(df if count_in is None else count_in, [key], hot_rows)
@@ -85,7 +101,9 @@ def history(
         last = F.max_by("_print", F.struct(when, *order_ties))
         rows = _carry(rows, part, last.alias("_edge"), F.lag, "_edge_before")
         rows = rows.withColumn("_before", F.coalesce("_before", "_edge_before")).drop("_edge_before")
-    versions = rows.where(F.col("_before").isNull() | (F.col("_before") != F.col("_print"))).drop("_before", "_print")
+    changed = F.col("_before").isNull() | (F.col("_before") != F.col("_print"))
+    versions = rows.where(changed).drop("_before", "_print")
+    repeats = rows.where(~changed).select(*df.columns)
 
     following = F.lead(F.struct(F.col(when).alias("at"))).over(along)
     versions = versions.withColumn("_next", following)
@@ -94,13 +112,14 @@ def history(
         versions = _carry(versions, part, first.alias("_edge"), F.lead, "_edge_next")
         versions = versions.withColumn("_next", F.coalesce("_next", "_edge_next")).drop("_edge_next", "_slice", "_hot")
 
-    return versions.withColumns(
+    dated = versions.withColumns(
         {
             validity.start: F.col(when).cast("timestamp"),
             validity.end: F.col("_next.at").cast("timestamp") - F.expr(f"interval {validity.gap}"),
             validity.current: F.col("_next").isNull().cast("int"),
         }
     ).drop("_next")
+    return dated, repeats
 
 
 def _carry(rows: DataFrame, part: list[str], edge, direction, name: str) -> DataFrame:

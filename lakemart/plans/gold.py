@@ -9,6 +9,7 @@ from ..operators.calendar import calendar, date_bounds
 from ..operators.history import current
 from ..operators.keys import with_surrogate_key
 from ..operators.star import Lookup, attach_keys
+from ..sources.registers import KeyRegister
 
 # The columns of each dimension, after its key.
 DIMENSION_COLUMNS = {
@@ -46,11 +47,16 @@ DIMENSION_SOURCES = {
 DATED_TABLES = ("transactions", "balances_daily", "loans", "loan_payments", "accounts", "cards", "branches")
 
 
-def dimension(name: str, silver: DataFrame) -> DataFrame:
+def dimension(name: str, silver: DataFrame, register: KeyRegister | None = None) -> DataFrame:
+    """A dimension with its surrogate keys: those that the register holds stay, and only
+    members it does not know are numbered. Without a register all are numbered."""
     _, key, historised = DIMENSION_SOURCES[name]
     rows = current(silver) if historised else silver
     rows = rows.withColumnsRenamed({"silver_load_ts": "load_ts"}).select(*DIMENSION_COLUMNS[name])
-    return with_surrogate_key(rows, DIMENSION_COLUMNS[name][0], key)
+    if register is None:
+        return with_surrogate_key(rows, DIMENSION_COLUMNS[name][0], key)
+    register.grow(rows)
+    return register.attach(rows)
 
 
 def dim_date(tables: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import marts
 from ..sources.layers import Layer
 from ..sources.schemas import conform, gold_schema
 from . import gold, silver
-from .model import MONTH
+from .model import MONTH, filled_days
 
 BALANCES = "balances_daily"
 
@@ -29,7 +29,11 @@ class Summary:
     build: Callable[..., DataFrame]
 
 
-#: Which tables are built on which.
+def _days(fact: DataFrame) -> DataFrame:
+    return fact.select("date_key").distinct()
+
+
+#: Which tables are built on which; what is built on a summary stands below it.
 SUMMARIES = {
     "fact_branch_daily_summary": Summary(("fact_daily_balances",), (), marts.branch_daily),
     "fact_branch_daily_wide": Summary(
@@ -39,6 +43,8 @@ SUMMARIES = {
     "fact_customer_daily_wide": Summary(
         ("fact_transactions", "fact_daily_balances", "fact_loans"), ("dim_card", "dim_customer"), marts.customer_daily_wide
     ),
+    # the days on which a fact has rows: closing balances look here, not in the fact
+    **{filled_days(fact): Summary((fact,), (), _days) for fact in ("fact_daily_balances", "fact_customer_daily_wide")},
 }
 
 
@@ -48,7 +54,12 @@ def monthly(df: DataFrame) -> DataFrame:
 
 
 def built_on(fact: str) -> list[str]:
-    return [name for name, one in SUMMARIES.items() if fact in one.facts]
+    """The summaries of a fact, and those of these summaries, in the order in which they are built."""
+    found: list[str] = []
+    for name, one in SUMMARIES.items():
+        if {fact, *found} & set(one.facts):
+            found.append(name)
+    return found
 
 
 def _in_months(column: Column, months: list[int | None]) -> Column:

@@ -20,6 +20,7 @@ from ..session import shared_folder
 from ..sources import fixtures
 from ..sources.ingest import SCHEMA_NAME
 from ..sources.layers import Layer, run_together
+from ..sources.registers import KeyRegister
 from ..sources.schemas import conform, gold_schema
 from . import gold, loads, silver
 from .model import MONTH
@@ -158,7 +159,21 @@ def silver_recipes(raw: Layer, typed: Callable[[str], DataFrame], load_ts: str |
     }
 
 
-def gold_recipes(typed: Layer, star: Callable[[str], DataFrame], load_ts: str, batch: str) -> dict[str, Callable[[], DataFrame]]:
+def known_keys(keys: Layer, star: Layer, name: str) -> KeyRegister | None:
+    """The register of a dimension's keys, brought up to date from the stored dimension; None
+    before there is either. A dimension that is built once needs no register."""
+    _, key, _ = gold.DIMENSION_SOURCES[name]
+    register = KeyRegister(keys, name, gold.DIMENSION_COLUMNS[name][0], key)
+    if Layer.exists(star, name):
+        register.remember(Layer.table(star, name))
+    return register if keys.exists(name) else None
+
+
+def gold_recipes(
+    typed: Layer, star: Callable[[str], DataFrame], load_ts: str, batch: str, keys: Layer, stored: Callable[[], Layer]
+) -> dict[str, Callable[[], DataFrame]]:
+    """``stored`` gives the layer that the recipes' tables belong to, ``keys`` holds the registers."""
+
     def dims() -> dict[str, DataFrame]:
         return {name: star(name) for name in (*gold.DIMENSION_SOURCES, "dim_date")}
 
@@ -166,7 +181,7 @@ def gold_recipes(typed: Layer, star: Callable[[str], DataFrame], load_ts: str, b
         return conform(check(typed, star, batch, load_ts), gold_schema("dq_results"))
 
     recipes: dict[str, Callable[[], DataFrame]] = {
-        name: lambda n=name, t=table: gold.dimension(n, typed.table(t))
+        name: lambda n=name, t=table: gold.dimension(n, typed.table(t), known_keys(keys, stored(), n))
         for name, (table, _, _) in gold.DIMENSION_SOURCES.items()
     }
     recipes |= {
@@ -219,7 +234,8 @@ def open_lake(
         spark, f"{name}_silver", f"{root}/silver", silver_recipes(raw, lambda t: typed.table(t), load_ts, as_of)
     )
     star = BuiltLayer(
-        spark, f"{name}_gold", f"{root}/gold", gold_recipes(typed, lambda t: star.table(t), load_ts, batch)
+        spark, f"{name}_gold", f"{root}/gold",
+        gold_recipes(typed, lambda t: star.table(t), load_ts, batch, Layer(spark, f"{name}_keys", f"{root}/keys"), lambda: star),
     )
     return Lake(raw, typed, star)
 

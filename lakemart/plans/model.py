@@ -167,6 +167,7 @@ class Context:
     by: tuple[str, ...] = ()
     where: Mapping[str, Filter] = field(default_factory=dict)
     closing: str = "last_data"
+    spans: dict = field(default_factory=dict, compare=False)  # first and last day in reach, by date filters
 
     def only(self, operand: Operand) -> Context:
         """The part of the context the operand sees."""
@@ -232,10 +233,13 @@ def _in_reach(context: Context, rows: DataFrame) -> DataFrame:
     """The fact's rows that any date step can look at, when the report filters dates:
     from the start of the year a month before the first day shown, to the last one. The
     two days come from the calendar; as literals they prune the fact's months."""
-    if not any(_table(c) == DATE for c in context.where):
+    dated = tuple((c, id(wanted)) for c, wanted in context.where.items() if _table(c) == DATE)
+    if not dated:
         return rows
-    first = F.date_format(F.trunc(F.add_months(F.min("Date"), -1), "year"), "yyyyMMdd").cast("int")
-    span = periods(context).agg(first.alias("first"), date_key(F.max("Date")).alias("last")).first()
+    if dated not in context.spans:
+        first = F.date_format(F.trunc(F.add_months(F.min("Date"), -1), "year"), "yyyyMMdd").cast("int")
+        context.spans[dated] = periods(context).agg(first.alias("first"), date_key(F.max("Date")).alias("last")).first()
+    span = context.spans[dated]
     if span["first"] is None:
         return rows.where(F.lit(False))
     inside = F.col("date_key").between(span["first"], span["last"])
@@ -270,7 +274,7 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
         elif step == "closing" and context.closing == "calendar":
             days = days.groupBy(*labels).agg(F.max("Date").alias("Date"))
         elif step == "closing":
-            filled = _in_reach(context, context.star[operand.fact]).select("date_key").distinct()
+            filled = _in_reach(context, _filled(context, operand.fact))
             filled = filled.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("Date"))
             if running:
                 days = _last_filled(context, days, filled, running, labels)
@@ -284,6 +288,23 @@ def shifted_periods(context: Context, operand: Operand) -> DataFrame:
     return days
 
 
+def filled_days(fact: str) -> str:
+    """The table of the days on which a fact has rows."""
+    return f"days_of_{fact}"
+
+
+def _filled(context: Context, fact: str) -> DataFrame:
+    """The days on which the fact has rows, NULL left out: as the star keeps them, or, if it
+    keeps none, from the fact itself."""
+    kept = filled_days(fact)
+    rows = context.star[kept] if kept in set(context.star) else context.star[fact].select(*_day_columns(context.star[fact])).distinct()
+    return rows.where("date_key is not null")
+
+
+def _day_columns(rows: DataFrame) -> list[str]:
+    return [c for c in ("date_key", MONTH) if c in rows.columns]
+
+
 def _last_filled(context: Context, days: DataFrame, filled: DataFrame, unit: str, labels: list[str]) -> DataFrame:
     """For each group's day, the last day with rows since the start of its month or
     year. A window holds the days of one period of the calendar."""

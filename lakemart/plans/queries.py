@@ -23,8 +23,10 @@ from ..operators.ranking import rank_by_value, top
 from ..operators.schedule import payment_schedule
 from ..session import shared_folder
 from ..sources import fixtures
+from ..sources.histories import HistoryTable
 from ..sources.ingest import convert, copy_folder
 from ..sources.layers import Layer
+from ..sources.registers import KeyRegister
 from ..sources.schemas import conform, gold_schema
 from . import gold, silver
 from .loads import BALANCES, built_on, load_balances, monthly, record_checks, summary
@@ -175,6 +177,30 @@ def q_ri_balances(spark, sf_dir):
     return silver.balances(_raw(spark, sf_dir, "balances_daily"), *parents, LOAD_TS)
 
 
+def _merged_customers(spark, sf_dir, name: str, feeds: list[str]) -> DataFrame:
+    """A stored history of customers that takes in its sources one by one."""
+    table = HistoryTable(
+        _scratch(spark, sf_dir, name), "customers", "customer_id", "_at", silver.CUSTOMER_TRACKED, SECONDS, (*silver.CUSTOMER_TRACKED, "record_source")
+    )
+    table.layer.drop("customers")
+    rows = silver.timed_customers(_raw(spark, sf_dir, "customers"), _raw(spark, sf_dir, "customers_delta"), LOAD_TS)
+    for source in feeds:
+        table.merge(rows.where(F.upper("record_source") == source))
+    return table.rows().drop("_at")
+
+
+@query
+def q_scd2_merge(spark, sf_dir):
+    """The changes merged into the stored base: equal to one build over both."""
+    return _merged_customers(spark, sf_dir, "history", ["CORE", "DELTA"])
+
+
+@query
+def q_scd2_merge_late(spark, sf_dir):
+    """So is the base merged into the stored changes, whose rows come late."""
+    return _merged_customers(spark, sf_dir, "history_late", ["DELTA", "CORE"])
+
+
 @query
 def q_scd2_accounts(spark, sf_dir):
     typed = lake(spark, sf_dir).silver
@@ -228,6 +254,18 @@ def q_surrogate_keys(spark, sf_dir):
     return gold.dimension("dim_customer", lake(spark, sf_dir).silver.table("customers")).select("customer_id", "customer_key")
 
 
+@query
+def q_keys_grow(spark, sf_dir):
+    """Customers whose version comes from the base table are numbered first; the others follow, and no
+    key changes."""
+    register = KeyRegister(_scratch(spark, sf_dir, "keys"), "customers", "customer_id", "customer_key")
+    register.layer.drop("customers")
+    members = current(lake(spark, sf_dir).silver.table("customers"))
+    register.grow(members.where("upper(record_source) = 'CORE'"))
+    register.grow(members)
+    return register.attach(members.select("customer_id")).select("customer_id", "customer_key")
+
+
 def _dimension_query(name: str) -> Query:
     def build(spark, sf_dir):
         table = lake(spark, sf_dir).silver.table(gold.DIMENSION_SOURCES[name][0])

@@ -71,10 +71,19 @@ def clean_customers(base: DataFrame, delta: DataFrame, load_ts=None) -> DataFram
     return require_keys(rows, ["customer_id"])
 
 
+def _timed(rows: DataFrame, load_ts) -> DataFrame:
+    return rows.withColumn("_at", event_time(["updated_at", "created_at"], load_ts))
+
+
+def timed_customers(base: DataFrame, delta: DataFrame, load_ts=None) -> DataFrame:
+    """Cleaned customers with the time ``_at`` that their history goes by."""
+    return _timed(clean_customers(base, delta, load_ts), load_ts)
+
+
 def _versions(rows: DataFrame, key: str, tracked, load_ts, sources: tuple[DataFrame, ...]) -> DataFrame:
     """Busy keys are counted in the sources' key column, not on the rows: that leaves
     out all the work that made them, and can only find more keys."""
-    timed = rows.withColumn("_at", event_time(["updated_at", "created_at"], load_ts))
+    timed = _timed(rows, load_ts)
     named = reduce(DataFrame.unionByName, (s.select(text(F.col(key)).alias(key)) for s in sources))
     return history(timed, key, "_at", tracked, SECONDS, ties=[*tracked, "record_source"], count_in=named).drop("_at")
 

@@ -238,6 +238,14 @@ class Layer:
     def swap_days(self, df: DataFrame, table: str, day: str, days: Iterable) -> DataFrame:
         """``replace_days`` that takes the listed days out as well, where ``df`` has no row of
         them, in the same step."""
+        return self._exchange(df, table, day, days, replaced=True)
+
+    def swap_parts(self, df: DataFrame, table: str, part: str, gone: Iterable) -> DataFrame:
+        """Takes the listed partitions out and adds the rows of ``df``, in one step. Rows that ``df``
+        brings to other partitions join what is there."""
+        return self._exchange(df, table, part, gone, replaced=False)
+
+    def _exchange(self, df: DataFrame, table: str, day: str, gone: Iterable, replaced: bool) -> DataFrame:
         was = self.live(table)
         if was is None:
             return self.overwrite(df.hint("rebalance", day), table, [day])
@@ -246,7 +254,8 @@ class Layer:
         schema = _evolved(was.schema, df)
         load = self._write(_aligned(df.hint("rebalance", day), schema), table, day)
         brought = self._parts(table, load, day)
-        kept = self._without(table, was, {*brought, *(None if v is None else str(v) for v in days)})
+        listed = {None if v is None else str(v) for v in gone}
+        kept = self._without(table, was, {*listed, *brought} if replaced else listed)
         new = () if not brought else (replace(load, parts=brought),)
         return self._commit(table, was, replace(was, schema=_stored_schema(schema, day), loads=(*kept, *new)))
 
@@ -309,9 +318,10 @@ def _counts(load: Load, partition: str | None) -> Column:
 
 
 def _stored_schema(schema: StructType, partition: str | None) -> StructType:
-    """Nullable, the partition column last, as files are read."""
-    fields = sorted(schema.fields, key=lambda f: f.name == partition)
-    return StructType([type(f)(f.name, f.dataType, True) for f in fields])
+    """Nullable down to the inner fields, the partition column last, as files are read."""
+    said = schema.json().replace('"nullable":false', '"nullable":true')
+    said = said.replace('"containsNull":false', '"containsNull":true').replace('"valueContainsNull":false', '"valueContainsNull":true')
+    return StructType(sorted(StructType.fromJson(json.loads(said)).fields, key=lambda f: f.name == partition))
 
 
 def _evolved(schema: StructType, df: DataFrame) -> StructType:

@@ -308,6 +308,7 @@ PLAIN["q_scd2_seconds"] = "SELECT * FROM sv_changes_s"
 PLAIN["q_scd2_micros"] = "SELECT * FROM sv_changes_m"
 PLAIN["q_current_rows"] = "SELECT * EXCLUDE (effective_end_date) FROM sv_changes_s WHERE is_current = 1"
 PLAIN["q_scd2_customers"] = "SELECT * REPLACE (cast(dob AS varchar) AS dob) FROM sv_customers"
+PLAIN["q_scd2_merge"] = PLAIN["q_scd2_merge_late"] = PLAIN["q_scd2_customers"]
 PLAIN["q_scd2_accounts"] = """
     SELECT * REPLACE (cast(open_date AS varchar) AS open_date, cast(overdraft_limit AS double) AS overdraft_limit) FROM sv_accounts
 """
@@ -342,6 +343,10 @@ PLAIN["q_date_bounds"] = """
 PLAIN["q_dim_date"] = 'SELECT * REPLACE (cast("Date" AS varchar) AS "Date") FROM d_date'
 PLAIN["q_preview"] = PLAIN["q_dim_date"] + ' ORDER BY "Date" LIMIT 10'
 PLAIN["q_surrogate_keys"] = "SELECT customer_id, customer_key FROM d_customer"
+PLAIN["q_keys_grow"] = """
+    SELECT customer_id, row_number() OVER (ORDER BY upper(record_source) <> 'CORE', substr(md5(customer_id), 1, 3), customer_id) - 1
+           AS customer_key FROM cur_customers
+"""
 PLAIN["q_dim_branch"] = """
     SELECT branch_key, branch_id, branch_name, city, state, region, cast(opened_date AS varchar) AS opened_date, is_active
     FROM d_branch

@@ -194,3 +194,16 @@ def test_distinct_counts_do_not_multiply_rows(star):
     for line in plan.splitlines():
         if "Expand [" in line:
             assert line.count("], [") == 1  # one projection, then the output columns
+
+
+def test_closing_days_come_from_the_kept_days(spark, star, tmp_path):
+    """Each aggregate then scans its fact once, and values stay as they are."""
+    fact, days = "fact_daily_balances", "days_of_fact_daily_balances"
+    stored = dict(star)
+    star[fact].write.parquet(f"{tmp_path}/fact")
+    stored[fact] = spark.read.parquet(f"{tmp_path}/fact")
+    without = report(stored, ["Total Deposit Balance"], ["dim_date.Year_Month"])
+    stored[days] = spark.createDataFrame(sorted({(r["date_key"],) for r in star[fact].collect()}, key=str), "date_key int")
+    kept = report(stored, ["Total Deposit Balance"], ["dim_date.Year_Month"])
+    assert plan_of(without).count("FileScan parquet") == 2 and plan_of(kept).count("FileScan parquet") == 1
+    assert values(kept) == values(without)
