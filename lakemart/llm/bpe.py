@@ -7,6 +7,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,6 +17,10 @@ from .common import pick, ship
 
 #: Words, and fragments of words, a worker remembers (some 300 bytes each).
 REMEMBERED = 500_000
+#: Longer words and fragments are not remembered: they hardly occur twice.
+LONGEST_REMEMBERED = 256
+#: Fragments of more letters are merged by a heap, since a scan for each merge takes quadratic time.
+SCANNED = 48
 
 # Byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -34,9 +39,10 @@ class Fragments(dict):
 
     def __missing__(self, key: tuple[str, bool]) -> list[int]:
         ids = self.coder.merged(*key)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[key] = ids
+        if len(key[0]) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = ids
         return ids
 
 
@@ -85,6 +91,8 @@ class WordBpe(dict):
         parts = list(fragment)
         if last:
             parts[-1] += self.end
+        if len(parts) > SCANNED:
+            return [self.ids[p] for p in self._merged_by_heap(parts)]
         rank, none = self.ranks.get, len(self.ranks)
         order = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
         while order and (lowest := min(order)) < none:
@@ -97,6 +105,29 @@ class WordBpe(dict):
                 order[i] = rank((parts[i], parts[i + 1]), none)
         return [self.ids[p] for p in parts]
 
+    def _merged_by_heap(self, parts: list[str | None]) -> list[str]:
+        """The same merges in n log n steps. Neighbours are linked by place; an entry of the
+        heap counts only while the pair at its place still has its rank."""
+        rank, n = self.ranks.get, len(parts)
+        before, after = [*range(-1, n - 1)], [*range(1, n + 1)]
+        heap = [(r, i) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            if parts[i] is None or j == n or rank((parts[i], parts[j])) != r:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (new := rank((parts[i], parts[k]))) is not None:
+                    heappush(heap, (new, i))
+            h = before[i]
+            if h >= 0 and (new := rank((parts[h], parts[i]))) is not None:
+                heappush(heap, (new, h))
+        return [p for p in parts if p is not None]
+
     def word_ids(self, word: str) -> list[int]:
         """Ids of a piece of text without white space."""
         if word.isascii():
@@ -114,9 +145,10 @@ class WordBpe(dict):
     def __missing__(self, word: str) -> tuple[int, str, str]:
         ids = self.word_ids(word)
         found = len(ids), " ".join(map(str, ids)), " ".join(self.tokens[i] for i in ids)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
     def _words(self, text: str) -> list[str]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 from tokenizers import Tokenizer
 
@@ -42,6 +43,22 @@ def test_equal_to_the_library():
         assert bpe.coder(FILE).encode(text) == library(text), text
 
 
+def test_long_words_merge_alike():
+    coder, rng = bpe.coder(FILE), random.Random(6)
+    for letters in ["ab", "aeinst", "".join(map(chr, range(97, 123))), "0é"]:
+        for n in (bpe.SCANNED - 1, bpe.SCANNED, bpe.SCANNED + 1, 400, 3_000):
+            word = "".join(rng.choices(letters, k=n))
+            assert coder.encode(word) == library(word)
+            assert (word in coder) == (n <= bpe.LONGEST_REMEMBERED)
+
+
+def test_a_word_of_a_million_letters():
+    word, start = "a" * 1_000_000, time.monotonic()
+    found = bpe.coder(FILE).encode(word)
+    assert time.monotonic() - start < 10
+    assert found == library(word)
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     coder = bpe.WordBpe(FILE)
