@@ -132,6 +132,7 @@ class Operand:
     given:   ((column, allowed values), ...): filters of the operand's own, in place
              of the report's filters on those columns
     distinct: the column whose distinct values the aggregate counts, if it does
+    adds:    whether the values of the parts of a group sum up to the group's
     """
 
     fact: str
@@ -143,6 +144,7 @@ class Operand:
     both: tuple[str, str] | None = None
     given: tuple[tuple[str, tuple], ...] = ()
     distinct: str | None = None
+    adds: bool = False
 
     def reaches(self, column: str) -> bool:
         table = _table(column)
@@ -419,6 +421,31 @@ def _one_frame(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
     return rows.groupBy(*groups).agg(*(F.expr(o.sql).alias(name) for name, o in operands.items()))
 
 
+def _finer(context: Context, operands: Mapping[str, Operand], name: str) -> str | None:
+    """The operand of the report, if there is one, whose groups are parts of this one's groups:
+    the same sum over the same rows, by more columns."""
+    wanted = operands[name]
+    if not wanted.adds or wanted.dates:
+        return None
+    seen, found = context.only(wanted), {}
+    for other, operand in operands.items():
+        parts = context.only(operand)
+        if replace(operand, clear=wanted.clear) == wanted and set(parts.where) == set(seen.where) and set(parts.by) > set(seen.by):
+            found[other] = len(parts.by)
+    return max(found, key=found.get, default=None)
+
+
+def _summed(parts: DataFrame, groups: Sequence[str], part_groups: Sequence[str], named: Mapping[str, str]) -> DataFrame:
+    """Totals of ``parts`` (new name -> column) by fewer groups. Every value column is looked
+    at, so that both readers of ``parts`` need the same columns and Spark runs its scan and
+    shuffle once."""
+    kinds = dict(parts.dtypes)
+    seen = [F.count(c) for c in parts.columns if c not in part_groups]
+    sums = [F.sum(column).cast(kinds[column]).alias(name) for name, column in named.items()]
+    totals = parts.groupBy(*groups).agg(*sums, reduce(Column.__add__, seen).alias("_seen"))
+    return totals.where("_seen >= 0").drop("_seen")
+
+
 def _in_both(context: Context, operand: Operand, name: str) -> DataFrame:
     """How many keys occur in both facts, per group. Each side is first reduced to
     its distinct (group, key) pairs, so the join meets each pair once."""
@@ -440,18 +467,36 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
 
     Operands that see all group columns are stacked and grouped once. One that sees
     fewer is joined on those it sees; one that sees none is a single value.
+    A sum whose parts the report has as well (a total with a filter lifted) is summed up from
+    those parts and does not read its fact again.
     When the groups come from one dimension, all its members in context are shown.
     """
-    frames: dict = {}
     operands = {name: operand.settled() for name, operand in operands.items()}
-    for name, operand in operands.items():
-        frames.setdefault(_frame_key(context, operand), {})[name] = operand
+    finer = {name: part for name in operands if (part := _finer(context, operands, name))}
     labels = [_label(c) for c in context.by]
-    full, partial = [], []
-    for members in frames.values():
-        seen = [_label(c) for c in _seen_by(context, next(iter(members.values())))]
-        frame = _one_frame(context, members)
-        (full if set(seen) == set(labels) else partial).append((seen, frame, list(members)))
+    full, partial, made = [], [], {}
+
+    def take(names: list[str]) -> None:
+        frames: dict = {}
+        for name in names:
+            frames.setdefault(_frame_key(context, operands[name]), {})[name] = operands[name]
+        for members in frames.values():
+            seen = [_label(c) for c in _seen_by(context, next(iter(members.values())))]
+            frame = _one_frame(context, members)
+            made.update({name: (frame, seen) for name in members})
+            (full if set(seen) == set(labels) else partial).append((seen, frame, list(members)))
+
+    take([name for name in operands if name not in finer])
+    # sums of doubles would differ in the last digits
+    exact = {n: p for n, p in finer.items() if dict(made[p][0].dtypes)[p].startswith(("decimal", "bigint"))}
+    take([name for name in finer if name not in exact])
+    lifted: dict = {}
+    for name, part in exact.items():
+        lifted.setdefault((id(made[part][0]), context.only(operands[name]).by), {})[name] = part
+    for (_, by), named in lifted.items():
+        parts, part_groups = made[next(iter(named.values()))]
+        groups = [_label(c) for c in by]
+        partial.append((groups, _summed(parts, groups, part_groups, named), list(named)))
 
     if not labels:
         return side_by_side([frame for _, frame, _ in full], []).select(*operands)

@@ -207,3 +207,30 @@ def test_closing_days_come_from_the_kept_days(spark, star, tmp_path):
     kept = report(stored, ["Total Deposit Balance"], ["dim_date.Year_Month"])
     assert plan_of(without).count("FileScan parquet") == 2 and plan_of(kept).count("FileScan parquet") == 1
     assert values(kept) == values(without)
+
+
+def test_lifted_totals_do_not_read_the_fact_again(spark, star, tmp_path):
+    """A share's whole is summed up from the parts that the report shows: one scan and one
+    shuffle of the fact serve both, and values are those of a report without parts."""
+    stored = dict(star)
+    for fact in ("fact_transactions", "fact_loans"):
+        star[fact].write.parquet(f"{tmp_path}/{fact}")
+        stored[fact] = spark.read.parquet(f"{tmp_path}/{fact}")
+    by = ["dim_branch.region", "dim_branch.branch_name"]
+    shares = ["Transaction Amount Share %", "Transaction Contribution %", "Principal Share %", "Loan Share %", "Total Loan Exposure"]
+    rows = {r["branch_name"]: r for r in report(stored, shares, by).collect()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan before it runs then shows what is reused
+    try:
+        plan = plan_of(report(stored, shares, by))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len([s for s in scans if "amount" in s]) == len(scans) == 2, plan
+    assert "ReusedExchange [dim_branch__region" in plan
+    assert rows["North One"]["transaction_amount_share_pct"] == pytest.approx(200100 / 200157)
+    assert rows["North One"]["transaction_contribution_pct"] == pytest.approx(1)
+    assert rows["South"]["principal_share_pct"] == pytest.approx(100 / 600)
+    assert rows["South"]["loan_share_pct"] == pytest.approx(1 / 3)
+    # a filter on the lifted column: the whole is not the sum of the parts shown
+    one_region = report(stored, shares, by, {"dim_branch.region": ["S"]}).collect()
+    assert [r["transaction_amount_share_pct"] for r in one_region] == [pytest.approx(50 / 200157)]
