@@ -469,6 +469,7 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
     fewer is joined on those it sees; one that sees none is a single value.
     A sum whose parts the report has as well (a total with a filter lifted) is summed up from
     those parts and does not read its fact again.
+    Where no operand sees all group columns, its groups stand beside every member of the others.
     When the groups come from one dimension, all its members in context are shown.
     """
     operands = {name: operand.settled() for name, operand in operands.items()}
@@ -507,7 +508,7 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
         members, _ = _members(context, tables.pop())
         stacked.append(members.distinct())
     if not stacked:
-        raise ValueError("no measure of the report is related to all of its group columns")
+        stacked = [_spread(context, seen, frame, names) for seen, frame, names in partial]
     grid = side_by_side(stacked, labels)
     for seen, frame, names in partial:
         if seen:
@@ -519,6 +520,19 @@ def evaluate(context: Context, operands: Mapping[str, Operand]) -> DataFrame:
     return grid.select(*labels, *operands)
 
 
+def _spread(context: Context, seen: Sequence[str], frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The groups of ``frame`` that have a value, each with every member, in context, of the group
+    columns that its operands do not see: there the value repeats. The result is the
+    report's own rows, so it grows with groups and members and never with a fact."""
+    some = reduce(Column.__or__, (F.col(n).isNotNull() for n in names))
+    rows = frame.where(some).select(*seen, F.lit(None).cast("int").alias("_apart"))
+    hidden = [c for c in context.by if _label(c) not in seen]
+    for table in sorted({_table(c) for c in hidden}):
+        shown = replace(context, by=tuple(c for c in hidden if _table(c) == table))
+        rows = rows.crossJoin(_members(shown, table)[0].distinct())
+    return rows.select(*(_label(c) for c in context.by))
+
+
 def _seen_by(context: Context, operand: Operand) -> list[str]:
     seen = list(context.only(operand).by)
     if operand.both:

@@ -551,6 +551,8 @@ PACKS: dict[str, tuple[str, tuple[str, ...], dict]] = {
     "m_time_filtered": ("time", BY_MONTH, {"where": {"dim_date.Year": [1998]}}),
     "m_deposit_filtered": ("deposit", BY_MONTH, {"where": {"dim_date.Year": [2024]}}),
     "m_pareto": ("pareto", ("dim_customer.full_name",), {}),
+    # groups that are no names take their place among the names of the branch
+    "m_pareto_branch": ("pareto", BY_BRANCH, {"where": {"dim_customer.full_name": lambda c: c.endswith("7")}}),
     # filters: the segment reaches transactions, and loans only virtually
     "m_txn_filtered": (
         "txn", ("dim_branch.region",),
@@ -583,6 +585,13 @@ def m_bucket(spark, sf_dir):
     return report(lake(spark, sf_dir).star(), names, ["Loan Bucket"])
 
 
+@query
+def m_apart(spark, sf_dir):
+    """No measure sees both columns: loans and payments repeat for each channel."""
+    names = ["Total Loans", "Total Principal Disbursed", "Total Payment Amount"]
+    return report(lake(spark, sf_dir).star(), names, ("dim_branch.region", "dim_channel.channel_name"))
+
+
 @query
 def m_txn_region_month(spark, sf_dir):
     names = ["Total Transactions", "Total Transaction Amount", "Transaction Amount MTD", "Transaction Amount YTD",

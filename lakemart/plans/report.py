@@ -84,16 +84,43 @@ def pack(star: Mapping[str, DataFrame], name: str, by: Sequence[str] = (), **res
 
 
 def _with_ranks(context: Context, resolver: _Resolver, grid: DataFrame) -> DataFrame:
-    """Ranks run among all customer names, also those a filter hides."""
+    """Ranks run among all customer names, also those a filter hides. Groups that are no names
+    are placed by their own value among the names' values within the group."""
+    base = next(iter(resolver.ranked.values())).base
+    names = {r.kind: n for n, r in resolver.ranked.items()}
     if NAMES not in context.by:
-        raise ValueError(f"ranking measures need {NAMES} as a group column")
+        return _placed(context, grid, resolver.formulas[base], resolver(base), names)
     among = replace(context, where={c: f for c, f in context.where.items() if c != NAMES})
     labels = [_label(c) for c in context.by]
     within = [c for c in labels if c != _label(NAMES)]
-    names = {r.kind: n for n, r in resolver.ranked.items()}
-    base = next(iter(resolver.ranked.values())).base
     totals = evaluate(among, {"_total": resolver.formulas[base]})
     ranks = rank_by_value(totals, "_total", within, "_r_rank", "_r_running").select(*labels, *names.values())
     same = reduce(lambda a, b: a & b, (F.col(f"g.{c}").eqNullSafe(F.col(f"r.{c}")) for c in labels))
     kept = [F.col(f"g.{c}") for c in grid.columns] + [F.col(f"r.{n}") for n in names.values()]
     return grid.alias("g").join(ranks.alias("r"), same, "left").select(*kept)
+
+
+def _placed(context: Context, grid: DataFrame, base: Operand, value: Column, names: Mapping[str, str]) -> DataFrame:
+    """``grid`` with the place of each group's value: one more than the different greater
+    values of names in the group, and the sum of those at least as great. A blank counts as zero.
+    Each name's value meets the one row of its group."""
+    among = replace(context, by=(*context.by, NAMES), where={c: f for c, f in context.where.items() if c != NAMES})
+    labels = [_label(c) for c in context.by]
+    totals = evaluate(among, {"_total": base}).select(*labels, F.coalesce("_total", F.lit(0)).alias("_total"))
+    own = grid.select(*labels, F.coalesce(value, F.lit(0)).alias("_own"))
+    if labels:
+        same = reduce(lambda a, b: a & b, (F.col(f"t.{c}").eqNullSafe(F.col(f"o.{c}")) for c in labels))
+        met = totals.alias("t").join(own.alias("o"), same).select(*(F.col(f"o.{c}") for c in labels), "_total", "_own")
+    else:
+        met = totals.crossJoin(F.broadcast(own))  # one row
+    made = {
+        "rank": F.count_distinct(F.when(F.col("_total") > F.col("_own"), F.col("_total"))) + 1,
+        "running": F.sum(F.when(F.col("_total") >= F.col("_own"), F.col("_total"))),
+    }
+    ranks = met.groupBy(*labels).agg(*(made[kind].alias(name) for kind, name in names.items()))
+    if not labels:
+        return grid.crossJoin(F.broadcast(ranks))
+    same = reduce(lambda a, b: a & b, (F.col(f"g.{c}").eqNullSafe(F.col(f"r.{c}")) for c in labels))
+    first = F.lit(1).cast("long")  # a group without any name
+    placed = [F.coalesce(F.col(f"r.{n}"), first).alias(n) if kind == "rank" else F.col(f"r.{n}") for kind, n in names.items()]
+    return grid.alias("g").join(ranks.alias("r"), same, "left").select(*(F.col(f"g.{c}") for c in grid.columns), *placed)

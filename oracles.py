@@ -889,5 +889,22 @@ PLAIN["m_pareto"] = f"""
             FROM d_customer LEFT JOIN f_l USING (customer_key) GROUP BY full_name)
         WINDOW w AS (ORDER BY x DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 """
+CTES["name_exposure"] = """
+    SELECT branch_name, full_name, sum(principal_amount) AS x
+    FROM f_l JOIN d_branch USING (branch_key) LEFT JOIN d_customer USING (customer_key) GROUP BY ALL
+"""
+PLAIN["m_pareto_branch"] = f"""
+    SELECT branch_name, {shown(PARETO_OUT, {"customer_rank_by_exposure"}, {"top_80_pct_flag", "color_flag"})} FROM (
+        SELECT branch_name, 1 + count(DISTINCT CASE WHEN e.x > own THEN e.x END) AS place,
+               sum(CASE WHEN e.x >= own THEN e.x END) AS run, sum(e.x) AS whole
+        FROM (SELECT branch_name, coalesce(sum(x) FILTER (WHERE full_name LIKE '%7'), 0) AS own
+              FROM (SELECT DISTINCT branch_name FROM d_branch) LEFT JOIN name_exposure USING (branch_name) GROUP BY branch_name)
+        LEFT JOIN name_exposure e USING (branch_name) GROUP BY branch_name)
+"""
+PLAIN["m_apart"] = f"""
+    SELECT region, channel_name, {shown({"total_loans": "ln", "total_principal_disbursed": "la", "total_payment_amount": "pa"}, {"total_loans"})}
+    FROM (SELECT region, sum(ln) AS ln, sum(la) AS la, sum(pa) AS pa FROM per_branch GROUP BY region)
+    CROSS JOIN (SELECT DISTINCT channel_name FROM d_channel) WHERE ln IS NOT NULL OR la IS NOT NULL OR pa IS NOT NULL
+"""
 
 ORACLES: dict[str, str] = {name: with_ctes(sql) for name, sql in PLAIN.items()}
