@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from pyspark.sql.types import DataType
 from .layers import Layer, run_together
 
 SCHEMA_NAME = "dbo"
+#: The table of a raw layer that says which files its copies were made from.
+MANIFEST = "copied_files"
 
 
 def discover_files(spark: SparkSession, folder: str, schema: str = SCHEMA_NAME) -> DataFrame:
@@ -92,3 +96,84 @@ def copy_folder(spark: SparkSession, folder: str, raw: Layer, at_once: int = 4)
     listed = discover_files(spark, folder).collect()
     sources = {f"{r['SchemaName']}.{r['TableName']}": spark.read.parquet(r["Path"]) for r in listed}
     return copy_tables(sources, raw, at_once)
+
+
+def source_files(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """(table_name, path, length, modified) of the files of each table (name -> its place).
+    Spark lists them; nothing of their content is read."""
+    listed = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place)
+        .select(F.lit(name).alias("table_name"), "path", "length", F.col("modificationTime").alias("modified"))
+        .where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]"))
+        for name, place in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, listed)
+
+
+def _mark(raw: Layer, table: str) -> str:
+    """What stands in the manifest for the present version of a copy; "" if there is none."""
+    live = raw.live(table)
+    return "" if live is None else sha1(live.text().encode()).hexdigest()
+
+
+def _compared(now: DataFrame, known: DataFrame | None, marks: Mapping[str, str]) -> DataFrame:
+    """The files of now and of the manifest (table_name, path, added, gone); a changed file is there
+    as both. Files known for another version of a copy are not known."""
+    if known is None:
+        before = now.where(F.lit(False))
+    else:
+        live = now.sparkSession.createDataFrame([*marks.items()], "table_name string, mark string")
+        before = known.join(F.broadcast(live), ["table_name", "mark"], "left_semi").select(*now.columns)
+    both = now.withColumn("_now", F.lit(True)).join(before.withColumn("_before", F.lit(True)), now.columns, "full_outer")
+    return both.select("table_name", "path", F.col("_before").isNull().alias("added"), F.col("_now").isNull().alias("gone"))
+
+
+def copy_changes(spark: SparkSession, folder: str, raw: Layer, at_once: int = 4) -> DataFrame:
+    """Copies what differs since the last call: (table_name, action, files), a row per source table.
+
+    A table whose files are all as the manifest says (path, length and time) is ``kept``; one that
+    only got further files is ``extended`` by these, and nothing else of it is read; one with changed or
+    missing files, or never copied, is ``copied`` whole, data and schema replaced. So is one
+    whose copy something else has written since. ``files`` counts the files that were read.
+
+    The manifest is written after the data and names the version of the copy it belongs to: where a
+    run is lost in between, the next one copies that table whole, and never adds a file twice. A
+    file that changes while it is copied has another time at the next call. Copies of
+    tables that the source has no more stay. The driver gets a row per table and the paths
+    of files that are new in a known table.
+    """
+    listed = discover_files(spark, folder).collect()
+    places = {f"{r['SchemaName']}.{r['TableName']}": r["Path"] for r in listed}
+    shown = "table_name string, action string, files long"
+    if not places:
+        return spark.createDataFrame([], shown)
+    # the files as they are before anything is copied
+    now = raw.overwrite(source_files(spark, places), f"{MANIFEST}_now")
+    known = raw.table(MANIFEST) if raw.exists(MANIFEST) else None
+    compared = _compared(now, known, {t: _mark(raw, t) for t in places})
+    counted = compared.groupBy("table_name").agg(
+        F.count_if(~F.col("gone")).alias("files"), F.count_if("added").alias("added"), F.count_if("gone").alias("gone")
+    )
+    found = {r["table_name"]: r for r in counted.collect()}
+    kept = {t for t, r in found.items() if not r["added"] and not r["gone"]}
+    extended = {t: [] for t, r in found.items() if 0 < r["added"] < r["files"] and not r["gone"]}
+    if extended:
+        for r in compared.where(F.col("added") & F.col("table_name").isin(*extended)).collect():
+            extended[r["table_name"]].append(r["path"])
+
+    def bring(table: str) -> tuple[str, str, int]:
+        if table in kept:
+            return table, "kept", 0
+        if table in extended:
+            raw.append(spark.read.option("basePath", places[table]).parquet(*extended[table]), table)
+            return table, "extended", len(extended[table])
+        raw.overwrite(spark.read.parquet(places[table]), table)
+        return table, "copied", found[table]["files"] if table in found else 0
+
+    done = run_together({t: lambda t=t: bring(t) for t in places}, at_once)
+    written = [t for t, action, _ in done.values() if action != "kept"]
+    if written:
+        marks = spark.createDataFrame([(t, _mark(raw, t)) for t in written], "table_name string, mark string")
+        raw.swap_days(now.join(F.broadcast(marks), "table_name"), MANIFEST, "table_name", written)
+    raw.drop(f"{MANIFEST}_now")
+    return spark.createDataFrame([done[t] for t in sorted(done)], shown)

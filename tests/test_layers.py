@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 import uuid
@@ -12,7 +13,7 @@ from conftest import values
 from lakemart.plans.medallion import AS_OF, BATCH, LOAD_TS, BuiltLayer, open_lake
 from lakemart.session import shared_folder
 from lakemart.sources import fixtures
-from lakemart.sources.ingest import copy_folder, discover_files
+from lakemart.sources.ingest import MANIFEST, copy_changes, copy_folder, discover_files
 from lakemart.sources.layers import Layer
 
 
@@ -232,3 +233,52 @@ def test_shared_folder_is_the_clusters():
         shared_folder(FakeSession(spark_master="yarn"))
     local = FakeSession(spark_master="local[2]")
     assert shared_folder(local) == shared_folder(local)
+
+
+def test_only_what_differs_is_copied(spark, tmp_path, monkeypatch):
+    source, layer = tmp_path / "source", Layer(spark, "raw", f"{tmp_path}/raw")
+
+    def part(name, rows, schema="id long, day string"):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/one")
+        (made,) = [p for p in os.listdir(tmp_path / "one") if p.endswith(".parquet")]
+        os.makedirs((source / name).parent, exist_ok=True)
+        os.replace(tmp_path / "one" / made, source / name)
+
+    def copied():
+        return {r["table_name"]: (r["action"], r["files"]) for r in copy_changes(spark, str(source), layer).collect()}
+
+    part("days/day=1/part-0.parquet", [(1,)], "id long")
+    part("days/day=2/part-0.parquet", [(2,)], "id long")
+    part("single.parquet", [(7, "x")])
+    assert copied() == {"dbo.days": ("copied", 2), "dbo.single": ("copied", 1)}
+    notes = {t: layer.live(t) for t in ("dbo.days", "dbo.single", MANIFEST)}
+    assert copied() == {"dbo.days": ("kept", 0), "dbo.single": ("kept", 0)}
+    assert notes == {t: layer.live(t) for t in notes}  # nothing was written
+    # a further file, with a column more
+    part("days/day=3/part-0.parquet", [(3, "n")], "id long, note string")
+    assert copied() == {"dbo.days": ("extended", 1), "dbo.single": ("kept", 0)}
+    assert values(layer.table("dbo.days"), "id", "day", "note") == [(1, 1, None), (2, 2, None), (3, 3, "n")]
+    # a changed file, then a missing one
+    part("days/day=2/part-0.parquet", [(2,), (22,)], "id long")
+    assert copied()["dbo.days"] == ("copied", 3)
+    assert values(layer.table("dbo.days"), "id") == [(1,), (2,), (22,), (3,)]
+    os.remove(source / "days/day=1/part-0.parquet")
+    assert copied()["dbo.days"] == ("copied", 2)
+    # a run that is lost before the manifest is written: no file is added twice
+    part("days/day=4/part-0.parquet", [(4,)], "id long")
+    with monkeypatch.context() as lost:
+        lost.setattr(Layer, "swap_days", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            copied()
+    assert copied()["dbo.days"] == ("copied", 3)
+    assert values(layer.table("dbo.days"), "id") == [(2,), (22,), (3,), (4,)]
+    # a copy that something else has written is made anew
+    layer.overwrite(layer.table("dbo.single").limit(0), "dbo.single")
+    assert copied() == {"dbo.days": ("kept", 0), "dbo.single": ("copied", 1)}
+    assert values(layer.table("dbo.single")) == [(7, "x")]
+    assert layer.tables() == [MANIFEST, "dbo__days", "dbo__single"]
+
+
+def test_changes_of_an_empty_source(spark, tmp_path):
+    os.makedirs(tmp_path / "source")
+    assert copy_changes(spark, str(tmp_path / "source"), Layer(spark, "raw", f"{tmp_path}/raw")).count() == 0
