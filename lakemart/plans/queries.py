@@ -24,7 +24,7 @@ from ..operators.schedule import payment_schedule
 from ..session import shared_folder
 from ..sources import fixtures
 from ..sources.histories import HistoryTable
-from ..sources.ingest import convert, copy_folder
+from ..sources.ingest import SCHEMA_NAME, convert, copy_changes, copy_folder
 from ..sources.layers import Layer
 from ..sources.registers import KeyRegister
 from ..sources.schemas import conform, gold_schema
@@ -477,6 +477,55 @@ def q_warehouse(spark, sf_dir):
     return quality.row_counts(served)
 
 
+def _copies(spark, sf_dir) -> Layer:
+    return _scratch(spark, sf_dir, "changes")
+
+
+@query
+def q_copy_changes(spark, sf_dir):
+    """Two copies of the same files: the second reads and writes none."""
+    area = _copies(spark, sf_dir)
+    for table in area.tables():
+        area.drop(table)
+    runs = [copy_changes(spark, sf_dir, area).withColumn("run", F.lit(run)) for run in (1, 2)]
+    return runs[0].unionByName(runs[1]).select("run", "table_name", "action", "files")
+
+
+def _copied_query(table: str) -> Query:
+    def build(spark, sf_dir):
+        area = _copies(spark, sf_dir)
+        copy_changes(spark, sf_dir, area)
+        rows = area.table(f"{SCHEMA_NAME}.{table}")
+        if table == "embeddings":  # one row per number, so that any engine can compare them
+            rows = rows.select("vec_id", "label", F.posexplode("embedding").alias("place", "x")).withColumn("x", F.col("x").cast("double"))
+        return rows
+
+    build.__name__ = f"q_copied_{table}"
+    return build
+
+
+for _name in (*fixtures.TABLES, "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+    query(_copied_query(_name))
+
+
+_served: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _served_query(name: str) -> Query:
+    def build(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _served:
+            _served[key] = to_warehouse(lake(spark, sf_dir).gold, _scratch(spark, sf_dir, "served"))
+        return _served[key][name]
+
+    build.__name__ = f"q_served_{name}"
+    return build
+
+
+for _name in [*gold.DIMENSION_SOURCES, "dim_date", *FOREIGN_KEYS]:
+    query(_served_query(_name))
+
+
 @query
 def q_first_word(spark, sf_dir):
     return fixtures.source_table(spark, sf_dir, "part").select("p_partkey", "p_name", first_word(F.col("p_name")).alias("word"))

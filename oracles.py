@@ -474,6 +474,15 @@ ALL_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings
               "orders", "pages", "part", "region", "supplier")
 PLAIN["q_ingest_all"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES)
+PLAIN["q_copy_changes"] = " UNION ALL ".join(
+    f"SELECT {run} AS run, 'dbo.{t}' AS table_name, '{action}' AS action, {run % 2} AS files"
+    for run, action in ((1, "copied"), (2, "kept")) for t in ALL_TABLES)
+PLAIN |= {f"q_copied_{t}": f"SELECT * FROM {t}" for t in ALL_TABLES}
+PLAIN["q_copied_events"] = "SELECT * REPLACE (round(value, 6) AS value) FROM events"
+PLAIN["q_copied_embeddings"] = """
+    SELECT vec_id, label, unnest(range(0, len(embedding))) AS place, round(cast(unnest(embedding) AS double), 6) AS x FROM embeddings
+"""
+PLAIN |= {f"q_served_{t}": PLAIN[f"q_{t}"] for t in SERVED}
 PLAIN["q_first_word"] = "SELECT p_partkey, p_name, split_part(trim(p_name), ' ', 1) AS word FROM part"
 CTES["spending"] = """
     SELECT c_mktsegment, o_custkey, sum(cast(o_totalprice AS decimal(18,2))) AS spent
