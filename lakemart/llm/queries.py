@@ -201,35 +201,40 @@ OP1 = _op1_sql()
 def _op8_sql() -> str:
     plain = {"assign": secret_scan.ASSIGN, "access": secret_scan.ACCESS, "hex": "[0-9a-f]{32,}", "bare": "[A-Za-z0-9+/_=-]{20,}"}
     found = " union all ".join(
-        f"""select doc_id, owner, '{kind}' as kind, {i} as ord, regexp_extract_all(text, '{p}') as ms,
+        f"""select doc_id, owner, repository, '{kind}' as kind, {i} as ord, regexp_extract_all(text, '{p}') as ms,
   regexp_extract_all(text, '{p}', {secret_scan.KINDS[kind][1]}) as vs, string_split_regex(text, '{p}') as gs from t"""
         for i, (kind, p) in enumerate((k, p.replace("'", "''")) for k, p in plain.items())
     )
     return rf"""
-with t as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents),
+with t as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as owner, md5(coalesce(text, '')) as repository from documents),
 found as ({found}),
 each as (
-  select doc_id, owner, kind, ord, i, length(ms[i]) as n, vs[i] as v, sum(length(gs[i]) + length(ms[i])) over (partition by doc_id, kind order by i) as e
+  select doc_id, owner, repository, kind, ord, i, length(ms[i]) as n, vs[i] as v, sum(length(gs[i]) + length(ms[i])) over (partition by doc_id, kind order by i) as e
   from (select *, unnest(range(1, len(ms) + 1)) as i from found)
 ), passed as (
-  select doc_id, owner, kind, ord, e - n as s, e, v from each
+  select doc_id, owner, repository, kind, ord, e - n as s, e, v from each
   where case kind when 'assign' then length(v) >= {secret_scan.LEAST_VALUE}
     when 'bare' then regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') and len(list_distinct(string_split(v, ''))) >= {secret_scan.LEAST_CHARACTERS}
     else true end
-), owners as (select v, count(distinct owner) as owners from passed group by v),
+), owners as (
+  select v, count(distinct owner) as owners, count(*) as repositories
+  from (select v, repository, min(owner) as owner from passed group by v, repository) group by v
+),
 spans as (
-  select p.*, owners from passed p join owners using (v)
-  where kind <> 'bare' or owners = 1 and not exists (
+  select p.*, owners, repositories from passed p join owners using (v)
+  where kind <> 'bare' or owners < {secret_scan.EXAMPLE_OWNERS} and not exists (
     select 1 from passed b where b.kind <> 'bare' and b.doc_id = p.doc_id and b.s < p.e and b.e > p.s)
 ), per_doc as (
   select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
     string_agg(kind || ':' || s || ':' || e, ',' order by s, ord) filter (kind <> 'bare') as base,
     string_agg(kind || ':' || s || ':' || e, ',' order by s, ord) as spans,
-    count(*) filter (owners < {secret_scan.EXAMPLE_OWNERS}) as n_live, count(*) filter (owners >= {secret_scan.EXAMPLE_OWNERS}) as n_examples
+    count(*) filter (owners < {secret_scan.EXAMPLE_OWNERS}) as n_live, count(*) filter (owners >= {secret_scan.EXAMPLE_OWNERS}) as n_examples,
+    max(repositories) as n_repositories
   from spans group by doc_id
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
-  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_examples, 0) as n_examples
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_examples, 0) as n_examples,
+  coalesce(n_repositories, 0) as n_repositories
 from documents left join per_doc using (doc_id)
 """
 

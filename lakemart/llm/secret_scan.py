@@ -21,7 +21,7 @@ BASE = ("assign", "access", "hex")
 LEAST_VALUE, LEAST_CHARACTERS = 8, 10
 #: A value that so many owners have is a copied example.
 EXAMPLE_OWNERS = 3
-#: Rows to cut secrets out of are broadcast up to this number (some 100 bytes each).
+#: Rows to cut secrets out of, and cuts in them, are broadcast up to this number (some 100 bytes each).
 BROADCAST_ROWS = 100_000
 
 
@@ -46,19 +46,20 @@ def _looks_random(value: Column) -> Column:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """``row, owner, kind, start, end, digest`` of every span that passes its kind's test,
-    from ``row, owner, text``. Starts count code points; ends are exclusive."""
+    """``row, owner, repository, kind, start, end, digest`` of every span that passes its kind's
+    test, from ``row, owner, text``. A repository is a text: copies are one. Starts count
+    code points; ends are exclusive."""
     text = F.col("text")
-    found = rows.select("row", "owner", *(_found(text, k).alias(k) for k in KINDS))
+    found = rows.select("row", "owner", F.md5(text).alias("repository"), *(_found(text, k).alias(k) for k in KINDS))
     parts = []
     for kind in KINDS:
         at = Window.partitionBy("row").orderBy("place")
-        each = found.where(F.size(kind) > 0).select("row", "owner", F.posexplode(kind).alias("place", "m"))
+        each = found.where(F.size(kind) > 0).select("row", "owner", "repository", F.posexplode(kind).alias("place", "m"))
         end = F.sum(F.col("m.gap") + F.col("m.length")).over(at)
         passed = {"assign": F.length("m.value") >= LEAST_VALUE, "bare": _looks_random(F.col("m.value"))}.get(kind, F.lit(True))
         parts.append(
             each.withColumn("end", end).where(passed).select(
-                "row", "owner", F.lit(kind).alias("kind"), (F.col("end") - F.col("m.length")).alias("start"), "end",
+                "row", "owner", "repository", F.lit(kind).alias("kind"), (F.col("end") - F.col("m.length")).alias("start"), "end",
                 F.sha2(F.col("m.value"), 256).alias("digest"),
             )
         )
@@ -70,17 +71,20 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 def scan(rows: DataFrame) -> DataFrame:
     """``candidates`` with ``owners`` and ``repositories`` that have the same value in the whole
-    corpus (each row is a repository of its owner), and ``live``: whether it is still
-    to be taken for a credential. Bare runs stay only if they are one owner's, and
-    lie outside all spans of the base kinds.
+    corpus, and ``live``: whether it is still to be taken for a credential.
 
-    Copies are counted in two steps (value and owner, then value), each summed before
-    its shuffle, and only values of several rows are joined back (the others have one owner
+    A repository is a different text; copies of a text are one repository, which belongs to the
+    first of their owners by name. So copying a text makes no owner and no example. Bare
+    runs stay only while they are live and lie outside all spans of the base kinds.
+
+    Copies are counted in three steps (value and text, value and owner, value), each summed before
+    its shuffle, and only values of several repositories are joined back (the others have one owner
     and one repository), handed out in 16 slices: a value that a third of the rows hold does not meet in one task.
     """
     every = store(candidates(rows), "candidates")
-    per_owner = every.select("digest", "owner", "row").distinct().groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("rows"))
-    shared = per_owner.groupBy("digest").agg(F.count(F.lit(1)).alias("owners"), F.sum("rows").alias("repositories"))
+    per_text = every.groupBy("digest", "repository").agg(F.min("owner").alias("owner"))
+    per_owner = per_text.groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("texts"))
+    shared = per_owner.groupBy("digest").agg(F.count(F.lit(1)).alias("owners"), F.sum("texts").alias("repositories"))
     spread = shared.where("repositories > 1").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
     known = (
         every.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(16)))
@@ -93,7 +97,7 @@ def scan(rows: DataFrame) -> DataFrame:
     ends = F.max(F.when(base, F.col("end"))).over(up_to.rowsBetween(Window.unboundedPreceding, 0))
     starts = F.min(F.when(base, F.col("start"))).over(up_to.rowsBetween(0, Window.unboundedFollowing))
     apart = (F.coalesce(ends, F.lit(0)) <= F.col("start")) & (F.coalesce(starts, F.col("end")) >= F.col("end"))
-    return known.withColumn("apart", apart).where(base | (F.col("apart") & (F.col("owners") == 1))).drop("apart")
+    return known.withColumn("apart", apart).where(base | (F.col("apart") & F.col("live"))).drop("apart")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
@@ -105,7 +109,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFr
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans,
-    n_live, n_examples``.
+    n_live, n_examples, n_repositories``: the last is the number of different texts that hold the
+    most widespread of the row's values (0: no span).
 
     Null and empty texts have no spans; a null owner counts as one owner. Repeated rows are
     reported each; a null id is reported as null. ``docs`` is read once, and its
@@ -125,11 +130,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         *(c.alias(n) for n, c in counts.items()),
         joined(F.collect_list(F.when(base, span))).alias("base"), joined(F.collect_list(span)).alias("spans"),
         F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_examples"),
+        F.max("repositories").alias("n_repositories"),
     )
     numbers = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in counts]
     return rows.select("row", "doc_id").join(per_row, "row", "left").select(
         "doc_id", *numbers, F.sha2(whole("base"), 256).alias("base_sha256"), whole("spans").alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_live", "n_examples", "n_repositories")),
     )
 
 
@@ -149,7 +155,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         .groupBy("row", "n").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
     cuts = store(merged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")), "cuts")
-    side = F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts
+    size = cuts.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0]
+    side = F.broadcast(cuts) if size <= BROADCAST_ROWS else cuts
     marked = copy.join(side, "row", "left")
     begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["end"]))
     ends = F.concat(F.transform("cuts", lambda c: c["start"]), F.array(F.length(text).cast("long")))

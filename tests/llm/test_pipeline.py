@@ -37,7 +37,7 @@ def cut(text, owners):
     spans = []
     base = base_spans(text)
     for k, s, e, v in base + bare_spans(text):
-        alone = k != "bare" or len(owners[v]) == 1 and not any(a < e and b > s for _, a, b, _ in base)
+        alone = k != "bare" or len(owners[v]) < 3 and not any(a < e and b > s for _, a, b, _ in base)
         if alone and len(owners[v]) < 3:
             spans.append((s, e))
     out, at = [], 0

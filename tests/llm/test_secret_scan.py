@@ -24,19 +24,31 @@ def written(spans):
     return ",".join(f"{k}:{s}:{e}" for k, s, e, _ in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]))))
 
 
-def brute(rows):
-    owners = {}
+def holders(rows):
+    """value -> {text: the first of its owners}: copies of a text are one."""
+    held = {}
     for _, t, _, owner in rows:
         for *_, v in base_spans(t or "") + bare_spans(t or ""):
-            owners.setdefault(v, set()).add(owner or "")
+            texts = held.setdefault(v, {})
+            texts[t] = min(texts.get(t, owner or ""), owner or "")
+    return held
+
+
+def brute(rows):
+    held = holders(rows)
+    owners = {v: set(texts.values()) for v, texts in held.items()}
     out = []
     for i, t, _, _ in rows:
         base = base_spans(t or "")
-        bare = [x for x in bare_spans(t or "") if len(owners[x[3]]) == 1 and not any(s < x[2] and e > x[1] for _, s, e, _ in base)]
+        bare = [
+            x for x in bare_spans(t or "")
+            if len(owners[x[3]]) < secret_scan.EXAMPLE_OWNERS and not any(s < x[2] and e > x[1] for _, s, e, _ in base)
+        ]
         every = base + bare
         live = sum(len(owners[x[3]]) < secret_scan.EXAMPLE_OWNERS for x in every)
         counts = [sum(k == x[0] for x in base) for k in KINDS[:3]]
-        out.append((i, *counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every), live, len(every) - live))
+        widest = max((len(held[x[3]]) for x in every), default=0)
+        out.append((i, *counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every), live, len(every) - live, widest))
     return sorted(out, key=repr)
 
 
@@ -60,7 +72,7 @@ def test_against_plain_python(stored):
 
 
 def test_redaction_leaves_examples(stored, documents):
-    rows = [(i, f"é {EXAMPLE} x", "en", f"s{i}") for i in range(4)] + [(9, f"a {OWN} b token={OWN}c z", "en", "s1"), (10, None, "en", "s"), (11, "plain", "en", None)]
+    rows = [(i, f"é {EXAMPLE} x{i}", "en", f"s{i}") for i in range(4)] + [(9, f"a {OWN} b token={OWN}c z", "en", "s1"), (10, None, "en", "s"), (11, "plain", "en", None)]
     got = secret_scan.redact(stored(rows))
     texts = {r.doc_id: r.text for r in got.collect()}
     assert got.columns == stored(rows).columns
@@ -85,7 +97,26 @@ def test_scan_split_anew_between_steps(stored, replanned):
 
 
 def test_repositories_of_every_value(stored):
-    rows = [(i, f"password={'same' * 3}", "en", "hot") for i in range(50)] + [(60, "token=single12345", "en", "a"), (61, "token=shared12345 token=shared12345", "en", "a"), (62, "token=shared12345", "en", "b")]
+    rows = [(i, f"password={'same' * 3} {i % 25}", "en", "hot") for i in range(50)] + [(60, "token=single12345", "en", "a"), (61, "token=shared12345 token=shared12345", "en", "a"), (62, "token=shared12345", "en", "b")]
     found = secret_scan.scan(secret_scan.store(secret_scan._rows(stored(rows), "doc_id", "text", "source"), "documents"))
     got = {(r.owner, r.owners, r.repositories) for r in found.where("kind = 'assign'").collect()}
-    assert got == {("hot", 1, 50), ("a", 1, 1), ("a", 2, 2), ("b", 2, 2)}
+    assert got == {("hot", 1, 25), ("a", 1, 1), ("a", 2, 2), ("b", 2, 2)}
+
+
+def test_copies_of_a_text_make_no_owners(stored):
+    """A bare key stays in the report, and is cut out, however often and by whomever its text is copied."""
+    rows = [(i, f"see {OWN} here", "en", f"s{i}") for i in range(5)]
+    assert {(r.spans, r.n_live, r.n_repositories) for r in secret_scan.report(stored(rows)).collect()} == {("bare:4:24", 1, 1)}
+    assert {r.text for r in secret_scan.redact(stored(rows)).collect()} == {"see [SECRET] here"}
+    # two owners' different texts: still live; those of three owners: an example
+    two = [(i, f"see {OWN} here {i}", "en", f"s{i}") for i in range(2)]
+    assert {r.n_live for r in secret_scan.report(stored(two)).collect()} == {1}
+    three = [(i, f"see {OWN} here {i}", "en", f"s{i}") for i in range(3)]
+    assert {(r.spans, r.n_live) for r in secret_scan.report(stored(three)).collect()} == {("", 0)}
+
+
+def test_many_cuts_are_not_broadcast(stored, monkeypatch):
+    rows = [(i, f"token=abcdefgh{i} " * 5, "en", "s") for i in range(4)]
+    want = sorted(r.text for r in secret_scan.redact(stored(rows)).collect())
+    monkeypatch.setattr(secret_scan, "BROADCAST_ROWS", 20)  # 4 rows, 20 cuts
+    assert sorted(r.text for r in secret_scan.redact(stored(rows)).collect()) == want
