@@ -333,3 +333,21 @@ def test_a_fact_waits_for_its_own_dimensions_only(spark, frame, tmp_path):
     star = BuiltLayer(spark, "d", str(tmp_path / "d"), recipes)
     found = medallion.gold_recipes(Typed(), star.table, LOAD_TS, BATCH, star, lambda: star)
     assert found["fact_daily_balances"]().count() == 1  # no dim_loan, no dim_card
+
+
+def test_layers_are_stored_with_zstd(layer, frame, tmp_path):
+    layer.overwrite(frame([(1,)], "a int"), "t")
+    assert [f for f in (tmp_path / "db" / "t").rglob("*.parquet") if ".zstd." not in f.name] == []
+
+
+def test_loan_histories_sort_by_no_ties(frame):
+    from conftest import plan_of
+    from lakemart.plans import silver
+
+    raw = frame([("a", "c", "b", "x", date(2024, 1, 1), 1.0, 2.0, 3)], "loan_id string, customer_id string, branch_id string, status string, "
+                "start_date date, interest_rate_apr double, principal_amount double, tenure_months int")
+    ids = frame([("c", "b")], "customer_id string, branch_id string")
+    made = silver.loans(raw, ids, ids, LOAD_TS)
+    assert [r["is_current"] for r in made.collect()] == [1]
+    over = [line for line in plan_of(made).splitlines() if "lag(" in line]
+    assert over and not any("tenure_months" in line.split("windowspecdefinition(")[1].split("specifiedwindowframe")[0] for line in over)
