@@ -99,12 +99,7 @@ class Units(dict):
         self.model = model
 
     def __missing__(self, unit: str) -> tuple[int, str, str, bytes]:
-        parts = self.model.fragments(unit)
-        if len(parts) == 1:
-            made = self.model.encoded(unit)
-        else:
-            counts, ids, texts, sizes = zip(*[self[p] for p in parts], strict=True)
-            made = sum(counts), "".join(ids), "".join(texts), b"".join(sizes)
+        made = self.model.encoded(unit)
         if len(unit) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -143,7 +138,9 @@ class Model:
         self.unknown = kinds.index(_UNKNOWN)
         # where no piece has a mark behind another letter, nothing is merged across a word's start
         self.cuts = self.escape and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.together = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        signs = re.escape(self._signs())
+        kinds_of_runs = f"[^{signs}{MARK}]+|{MARK}*[{signs}]+" if signs else f"[^{MARK}]+"
+        self.cut = re.compile(f"{MARK}*{kinds_of_runs}|{MARK}+").findall
         self.units = Units(self)
 
     # normalising
@@ -205,12 +202,14 @@ class Model:
 
     # merging
 
-    def fragments(self, unit: str) -> list[str]:
-        """The unit, cut where its last letters stand together in no piece, as a point and what
-        goes before it: nothing is merged across."""
-        if len(unit) > 1 and unit[-2:] not in self.together and len(unit) <= LONGEST:
-            return [unit[:-1], unit[-1]]
-        return [unit]
+    def _signs(self) -> str:
+        """Points and other signs, without those that stand in a piece beside a letter or anything
+        else that is no such sign: nothing is merged across from a word to them."""
+        pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        signs = {c for c in {*map(chr, range(128)), *"".join(pairs)} - {MARK} if not c.isalpha() and not c.isdecimal()}
+        while mixed := {c for pair in pairs if MARK not in pair and len(signs & set(pair)) == 1 and pair[0] != pair[1] for c in pair} & signs:
+            signs -= mixed
+        return "".join(sorted(signs))
 
     def merged(self, unit: str) -> list[str]:
         """Neighbours that make the piece of the best score are joined, the leftmost first, until
@@ -282,17 +281,13 @@ class Model:
         """A text's units as ``Units`` has them, and the source bytes where its pieces begin,
         with the end of the last."""
         shown, origin = self.normalised((text or "").encode())
-        units = [self.units[u] for u in self._cut(shown.decode())]
+        units = list(map(self.units.__getitem__, self._cut(shown.decode())))
         sizes = np.frombuffer(b"".join([u[3] for u in units]), dtype="<i4")
         return units, origin[np.concatenate([[0], np.cumsum(sizes)])]
 
     def _cut(self, shown: str) -> list[str]:
-        if not shown or not self.cuts:
-            return [shown] if shown else []
-        words = shown.split(MARK)
-        if words[0] or not all(words[1:-1]) or len(words) < 2 or not words[1]:
-            return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", shown)  # spaces that stand together are one unit
-        return [MARK + w for w in words[1:]]
+        """Words with the spaces before them, runs of signs, and spaces that nothing follows."""
+        return self.cut(shown) if self.cuts else [shown] if shown else []
 
     # decoding
 
@@ -410,7 +405,7 @@ def digests(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str =
             else:
                 decoded = "".join([u[2] for u in units])[1:]  # the first unit begins with the mark of the start
             rows.append((
-                sum([u[0] for u in units]) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(),
+                len(places), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(),
                 zlib.crc32(places.astype("<i8").tobytes()),
             ))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"])

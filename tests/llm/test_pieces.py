@@ -105,3 +105,15 @@ def test_frames(spark, stored, documents):
     clash = spark.createDataFrame([(1, "a b", "x", 7)], "doc_id long, text string, found string, n_tokens long")
     assert pieces.digests(clash, FILE).first().n_tokens == 3
     assert pieces.digests(documents([]), FILE).count() == 0 and np.array(pieces.encode(documents([]), FILE).collect()).size == 0
+
+
+def test_words_between_signs_are_met_again():
+    """Signs are cut off wherever no piece holds them with a letter: each word is merged once."""
+    with open(FILE, "rb") as f:
+        model = pieces.Model(f.read())
+    library = sentencepiece.SentencePieceProcessor(model_file=FILE)
+    text = "kernal. kernal, kernal!! kernal $$$ kernal? m² x². l'eau 3.14 1,5 €5 a-b\nKernal.\nkernal"
+    same(model, library, text)
+    model.units.clear()
+    model.encode(" ".join(f"kernal{sign}kernal" for sign in (".", ",", "!!", ".\n", "$$$", "?", ";\n", "...")))
+    assert {u for u in model.units if "kernal" in u} == {"▁kernal", "kernal"}
