@@ -158,3 +158,17 @@ def test_payments_are_judged_by_todays_date(frame):
     assert {r["payment_id"] for r in payment_schedule(unnamed).collect()} == {None}
     defaults = inspect.signature(open_lake).parameters
     assert all(defaults[n].default is None for n in ("load_ts", "as_of", "batch"))
+
+
+def test_amounts_are_worked_out_before_rows_multiply(spark):
+    loans = spark.range(3).selectExpr(
+        "'L' || id as loan_id", "'c' as customer_id", "'b' as branch_id", "date'2024-01-31' as start_date",
+        "cast(100 as decimal(18,2)) as principal_amount", "int(id + 1) as tenure_months",
+    )
+    schedule = payment_schedule(loans, "2024-02-10", "2024-01-01 00:00:00")
+    above, below = plan_of(schedule).split("Generate explode", 1)
+    assert " / " in below and " / " not in above
+    assert values(schedule, "payment_id", "payment_amount") == [
+        ("L0_1", Decimal("100.00")), ("L1_1", Decimal("50.00")), ("L1_2", Decimal("50.00")),
+        ("L2_1", Decimal("33.33")), ("L2_2", Decimal("33.33")), ("L2_3", Decimal("33.33")),
+    ]
