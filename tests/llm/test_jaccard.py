@@ -117,3 +117,26 @@ def test_scan_split_anew_between_steps(stored, replanned):
     docs = stored(rows, parts=6)
     replanned(jaccard)
     check(docs, rows)
+
+
+@pytest.mark.parametrize("part,share", [(16, 0.01), (1, 0), (1, 0.4)])
+def test_entries_are_shuffled_once_for_the_count_of_their_column(stored, spark, monkeypatch, part, share):
+    """Whichever columns count as those of many rows: none, all, or some."""
+    monkeypatch.setattr(jaccard, "PART", part)
+    monkeypatch.setattr(jaccard, "HOT_COLUMN", share)
+    put, plans = jaccard.store, {}
+
+    def store(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return put(df, name)
+
+    monkeypatch.setattr(jaccard, "store", store)
+    rng = random.Random(2)
+    base = words(rng, 60)
+    rows = list(enumerate([edited(rng, base, i % 3) for i in range(12)] + [" ".join(words(rng, 30)) for _ in range(6)]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check(stored(rows), rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [plans[name].count("Exchange hashpartitioning(gram") for name in ("able", "ranked")] == [1, 1]
