@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, values
 from lakemart.operators.history import MICROS, SECONDS, current, history
@@ -100,3 +101,15 @@ def test_nothing_is_counted_for_unique_keys(frame, monkeypatch):
     monkeypatch.setattr(module, "hot_keys", lambda *a: pytest.fail("counted"))
     df = frame([("a", datetime(2024, 1, 1), "x")], "k string, t timestamp, v string")
     assert history(df, "k", "t", ["v"], MICROS, hot_rows=None).count() == 1
+
+
+@pytest.mark.parametrize("form", ["json", "text"])
+def test_fingerprints_are_worked_out_after_the_shuffle(frame, form):
+    rows = [("a", 1, None, 1.0), ("a", 2, "x", 1.0), ("a", 3, "x", 1.0), ("a", 4, "x", None), ("a", 5, "x", None), ("b", 1, None, None), (None, 1, "y", 2.0), (None, 2, "y", 2.0)]
+    df = frame(rows, "k string, t int, v string, w double").withColumn("t", F.timestamp_seconds("t"))
+    made = history(df, "k", "t", ["v", "w"], form=form, hot_rows=None)
+    assert values(made.select("k", F.unix_seconds("t").alias("t")), "k", "t") == [("a", 1), ("a", 2), ("a", 4), ("b", 1), (None, 1)]
+    below = plan_of(made).split("Exchange", 1)[1]
+    assert "sha2" not in below
+    sliced = history(df, "k", "t", ["v", "w"], form=form, hot_rows=1)
+    assert values(sliced) == values(made)
