@@ -351,3 +351,32 @@ def test_loan_histories_sort_by_no_ties(frame):
     assert [r["is_current"] for r in made.collect()] == [1]
     over = [line for line in plan_of(made).splitlines() if "lag(" in line]
     assert over and not any("tenure_months" in line.split("windowspecdefinition(")[1].split("specifiedwindowframe")[0] for line in over)
+
+
+def test_loans_are_shuffled_by_loan_once_and_looked_up_last(spark, frame):
+    from conftest import plan_of
+    from lakemart.plans import gold, silver
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [("a", "c", "b", "x", date(2024, 1, 1), 1.0, 2.0, 3), ("a", "c", "b", "y", date(2024, 1, 2), 1.0, 2.0, 3),
+                ("d", "c", "b", "x", date(2024, 1, 1), 1.0, 2.0, 3), ("d", "other", "b", "x", date(2024, 1, 2), 1.0, 2.0, 3)]
+        raw = frame(rows, "loan_id string, customer_id string, branch_id string, status string, "
+                    "start_date date, interest_rate_apr double, principal_amount double, tenure_months int")
+        ids = frame([("c", "b")], "customer_id string, branch_id string")
+        made = silver.loans(raw, ids, ids, LOAD_TS)
+        # the newest row of d is an orphan: no older row takes its place
+        assert values(made, "loan_id", "status", "is_current", "effective_to") == [("a", "Y", 1, None)]
+        assert plan_of(made).count("Exchange hashpartitioning(loan_id") == 1
+
+        dims = {
+            "dim_loan": frame([("a", 7)], "loan_id string, loan_key long"), "dim_customer": frame([("c", 8)], "customer_id string, customer_key long"),
+            "dim_branch": frame([("b", 9)], "branch_id string, branch_key long"), "dim_date": frame([(20240102, date(2024, 1, 2))], "Date_Key int, Date date"),
+        }
+        fact = gold.fact_loans(made, dims)
+        assert values(fact, "loan_key", "date_key", "customer_key", "branch_key") == [(7, 20240102, 8, 9)]
+        last = plan_of(fact).split("Join ")[1]
+        assert "branch_id#" not in last and "customer_id#" not in last
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
