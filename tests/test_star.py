@@ -83,6 +83,19 @@ def test_lookup_keeps_rows(frame):
     assert values(attach_keys(facts, [Lookup(dim, "dim_key", "id", "id")]), "n", "dim_key") == [(1, 10), (2, None), (3, None)]
 
 
+def test_days_are_looked_up_as_numbers(frame):
+    from lakemart.operators.schedule import instalments, payment_plans
+
+    facts = frame([(1, date(2024, 1, 31)), (2, None), (3, date(1969, 12, 31)), (4, date(2024, 2, 1))], "n int, day date")
+    days = frame([(20240131, date(2024, 1, 31)), (0, None), (19691231, date(1969, 12, 31))], "date_key int, Date date")
+    got = attach_keys(facts, [Lookup(days, "date_key", "Date", "day")])
+    assert values(got, "n", "date_key") == [(1, 20240131), (2, None), (3, 19691231), (4, None)]
+    assert "unix_date" in plan_of(got).split("Join")[1]
+    loans = frame([("a", "c", "b", date(2024, 1, 1), 6, 3)], "loan_id string, customer_id string, branch_id string, start_date date, principal_amount int, tenure_months int")
+    below = plan_of(instalments(payment_plans(loans, "2024-02-10", "2024-01-01 00:00:00"))).split("Generate")[1]
+    assert "concat(loan_id" in below  # once for a plan
+
+
 def test_conform(frame):
     df = frame([("5", "ch", 1)], "channel_key string, channel_name string, more int")
     assert conform(df, gold_schema("dim_channel")).dtypes == [("channel_key", "bigint"), ("channel_name", "string")]
